@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe
+from corpusloom.llm import bpe, quality
 
 
 def vocabulary(name: str) -> str:
@@ -24,8 +24,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe}
+    return {"op2_bpe": op2_bpe, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
