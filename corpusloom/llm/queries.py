@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, quality
+from corpusloom.llm import bpe, quality, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -24,12 +24,17 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op10_quality": op10_quality}
+    return {"op2_bpe": op2_bpe, "op7_toxicity": op7_toxicity, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
