@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, quality, secrets, toxicity
+from corpusloom.llm import bpe, pii, quality, secrets, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -34,12 +34,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.disclosing_terms(docs))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op10_quality": op10_quality}
+    return {"op2_bpe": op2_bpe, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
