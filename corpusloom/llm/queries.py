@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, pii, quality, secrets, toxicity
+from corpusloom.llm import bpe, mainpart, pii, quality, secrets, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op3_mainpart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainpart.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.fit(docs))
@@ -44,7 +48,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
+    return {"op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
