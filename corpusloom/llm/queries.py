@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, mainpart, pii, quality, secrets, toxicity
+from corpusloom.llm import bpe, mainpart, mixing, pii, quality, secrets, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -48,7 +52,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
+    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
