@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, mainpart, mixing, pii, quality, secrets, toxicity
+from corpusloom.llm import bpe, mainpart, mixing, ngramjoin, pii, quality, secrets, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -37,6 +37,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(docs))
 
 
+def op6_ngramjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -52,7 +56,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op5_secrets": op5_secrets, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
+    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op5_secrets": op5_secrets, "op6_ngramjoin": op6_ngramjoin, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
