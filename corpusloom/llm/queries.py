@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, mainpart, mixing, ngramjoin, pii, quality, secrets, toxicity
+from corpusloom.llm import bpe, linededup, mainpart, mixing, ngramjoin, pii, quality, secrets, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -32,6 +32,10 @@ def op3_mainpart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainpart.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.fit(docs))
@@ -56,7 +60,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op5_secrets": op5_secrets, "op6_ngramjoin": op6_ngramjoin, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
+    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op4_linededup": op4_linededup, "op5_secrets": op5_secrets, "op6_ngramjoin": op6_ngramjoin, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
