@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, linededup, mainpart, mixing, ngramjoin, pii, quality, secrets, toxicity
+from corpusloom.llm import bpe, fingerprint, linededup, mainpart, mixing, ngramjoin, pii, quality, secrets, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -55,12 +55,16 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(docs, pii.disclosing_terms(docs))
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op4_linededup": op4_linededup, "op5_secrets": op5_secrets, "op6_ngramjoin": op6_ngramjoin, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op10_quality": op10_quality}
+    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op4_linededup": op4_linededup, "op5_secrets": op5_secrets, "op6_ngramjoin": op6_ngramjoin, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op9_fingerprint": op9_fingerprint, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
