@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +41,10 @@ def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: its lineage ends here, and a lost executor costs nothing."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read back. Unlike `cut`, exchanges over it can be reused in one plan."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
