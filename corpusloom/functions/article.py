@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions import html as H
 from corpusloom.schemas import JUNK_SELECTORS, TITLE_LENGTH
@@ -47,7 +48,7 @@ def read_article(page: str, url: str, selectors: dict, title: str = "", date: st
     return title[:TITLE_LENGTH], date, body_text(body)
 
 
-_ARTICLE = "title string, date_raw string, body string"
+_ARTICLE = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "date_raw", "body")])
 
 
 @F.pandas_udf(_ARTICLE)
@@ -79,7 +80,7 @@ def links_of(page: str, selectors: str) -> list[str]:
     return list(dict.fromkeys(h for h in found if h))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _links_udf(html: pd.Series, selectors: pd.Series) -> pd.Series:
     return pd.Series([links_of(p or "", s or "") for p, s in zip(html, selectors)])
 

@@ -7,6 +7,7 @@ from urllib.parse import parse_qs, urlencode, urljoin, urlsplit, urlunsplit
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.schemas import STRIP_PARAMS
 
@@ -31,12 +32,12 @@ def normal_form(url: str | None) -> str | None:
         return text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _normal_form_udf(urls: pd.Series) -> pd.Series:
     return urls.map(normal_form, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _join_udf(bases: pd.Series, refs: pd.Series) -> pd.Series:
     def one(base, ref):
         try:
