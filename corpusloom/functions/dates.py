@@ -20,6 +20,7 @@ def normalise_date(raw: Column) -> Column:
     # A weekday and a time of day, as in feeds, say nothing about the date.
     day = F.regexp_replace(short, r"^[A-Za-z]{3},\s*", "")
     day = F.regexp_replace(day, r"^(\d{1,2} [A-Za-z]{3} \d{4}) \d{1,2}:\d{2}(:\d{2})?( .*)?$", "$1")
-    tries = [F.try_to_timestamp(short, F.lit(p)) for p in PATTERNS] + [F.try_to_timestamp(day, F.lit("d MMM yyyy"))] + [F.try_to_timestamp(short, F.lit(p)) for p in DOTTED]
+    iso = F.when(short.rlike(r"^\d{4}-\d{2}-\d{2}(T|\s|$)"), F.try_to_timestamp(F.substring(short, 1, 10), F.lit("yyyy-MM-dd")))
+    tries = [F.try_to_timestamp(short, F.lit(p)) for p in PATTERNS] + [F.try_to_timestamp(day, F.lit("d MMM yyyy"))] + [F.try_to_timestamp(short, F.lit(p)) for p in DOTTED] + [iso]
     found = F.date_format(F.coalesce(*tries), "yyyy-MM-dd")
     return F.when(text == "", F.lit("")).when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10)).otherwise(F.coalesce(found, bare))

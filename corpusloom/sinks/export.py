@@ -31,7 +31,9 @@ def markdown_rows(articles: DataFrame) -> DataFrame:
 def write_markdown(articles: DataFrame, path: str) -> None:
     """Appends text files, by country, blocks in order within each file."""
     rows = markdown_rows(articles)
-    rows.repartitionByRange("country_code", "ord").sortWithinPartitions("country_code", "ord").select("country_code", "text").write.mode("append").partitionBy("country_code").option("lineSep", "").text(path)
+    # Every text ends with a line break, which the writer adds.
+    lines = rows.repartitionByRange("country_code", "ord").sortWithinPartitions("country_code", "ord").select("country_code", F.regexp_replace("text", r"\n\z", "").alias("text"))
+    lines.write.mode("append").partitionBy("country_code").text(path)
 
 
 def sorted_index(index: DataFrame, order: str = "ord") -> DataFrame:
