@@ -1,6 +1,6 @@
 """Exact Jaccard join of documents on word shingles.
 
-A document is the set of its distinct 5-word shingles (64-bit hashes); equal sets are one entity from the start. Shingles
+A document is the set of its distinct 5-word shingles (hashes of 51 bits); equal sets are one entity from the start. Shingles
 have one global order: those of few documents first, those of many last, by hash within. Two sets with Jaccard 0.8 share a
 shingle among the first n - ceil(0.8 n) + 1 of each, so entities meet only in tiles of (such a shingle, size band), where
 a band and its neighbour hold all sizes that can link. In a tile every entity is paired with the tile's pivot; pairs are
@@ -38,16 +38,18 @@ FREQUENT_LIMIT = 1 << 20
 _FREQUENT_BITS = 24
 #: Bits of the set of entities that take part in some pair, sent to every worker (2 MB); false members cost time only.
 _MEMBER_BITS = 24
+#: Bits of a shingle's hash.
+HASH_BITS = 64 - textbatch.ROW_BITS
 _POSTING = np.dtype([("key", "<u8"), ("sig", "<u8"), ("n", "<u4")])
 
 
 def _sets(column: pa.Array, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of rows start:stop and their rows, in order of (row, shingle)."""
+    """Distinct shingles of rows start:stop and their rows, in order of (row, shingle). One plain sort does for both."""
     h, row = textbatch.shingles(textbatch.Words(column, start, stop, lower=True), SHINGLE)
-    order = np.lexsort((h, row))
-    h, row = h[order], row[order]
-    new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]) if len(h) else np.zeros(0, bool)
-    return h[new], row[new]
+    both = np.sort((row.astype(np.uint64) << np.uint64(HASH_BITS)) | (h >> np.uint64(64 - HASH_BITS)))
+    if len(both):
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+    return both & np.uint64((1 << HASH_BITS) - 1), (both >> np.uint64(HASH_BITS)).astype(np.int64)
 
 
 def _signatures(h: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,8 +60,16 @@ def _signatures(h: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray,
     return n, textbatch.mix((sums[first[1:]] - sums[first[:-1]]) ^ textbatch.mix(n.astype(np.uint64)))
 
 
+def _unseen(sig: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are the first of their signature, given those seen before in the batch: copies in a batch count once."""
+    own, first = np.unique(sig, return_index=True)
+    keep = np.zeros(len(sig), bool)
+    keep[first[~np.isin(own, seen)]] = True
+    return keep, np.union1d(seen, own)
+
+
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (h >> np.uint64(44)).astype(np.int64) * buckets >> 20
+    return (h >> np.uint64(HASH_BITS - 20)).astype(np.int64) * buckets >> 20
 
 
 def _blobs(keys: np.ndarray, values: np.ndarray, buckets: int) -> tuple[list[int], list[bytes]]:
@@ -78,14 +88,10 @@ def frequent(docs: DataFrame, buckets: int) -> np.ndarray:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = textbatch.as_strings(batch.column("text"))
-            found = [np.zeros(0, np.uint64)]
+            found, seen = [np.zeros(0, np.uint64)], np.zeros(0, np.uint64)
             for start, stop in textbatch.slices(column):
                 h, row = _sets(column, start, stop)
-                n, sig = _signatures(h, row, stop - start)
-                # Copies in a batch count once.
-                _, first = np.unique(sig, return_index=True)
-                keep = np.zeros(stop - start, bool)
-                keep[first] = True
+                keep, seen = _unseen(_signatures(h, row, stop - start)[1], seen)
                 found.append(h[keep[row]])
             h, n = np.unique(np.concatenate(found), return_counts=True)
             times = np.minimum(n, top)
@@ -128,7 +134,7 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
         table[often & np.uint32((1 << _FREQUENT_BITS) - 1)] = True
         for batch in batches:
             column = textbatch.as_strings(batch.column("text"))
-            postings = [np.zeros(0, _POSTING)]
+            postings, seen = [np.zeros(0, _POSTING)], np.zeros(0, np.uint64)
             for start, stop in textbatch.slices(column):
                 h, row = _sets(column, start, stop)
                 n, sig = _signatures(h, row, stop - start)
@@ -137,15 +143,19 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(spread), pa.nulls(stop - start, pa.binary()), old.column("doc_id"), pa.array(sig.view(np.int64)), pa.array(n.astype(np.int32))], names=["bucket", "blob", "doc_id", "sig", "n"]
                 )
+                fresh, seen = _unseen(sig, seen)
+                h, row = h[fresh[row]], row[fresh[row]]
+                n = np.where(fresh, n, 0)
                 many = table[(h & np.uint64((1 << _FREQUENT_BITS) - 1)).astype(np.int64)]
-                order = np.lexsort((h, many, row))
+                # Within a row the shingles are sorted, so a stable sort by frequency is all that is wanted.
+                order = np.argsort(row * 2 + many, kind="stable")
                 h, row = h[order], row[order]
                 place = np.arange(len(h)) - np.concatenate([[0], np.cumsum(n)])[row]
                 keep = place < prefix_length(n)[row]
                 made = np.zeros(int(keep.sum()), _POSTING)
                 made["key"], made["sig"], made["n"] = h[keep], sig[row[keep]], n[row[keep]]
                 postings.append(made)
-            every = np.unique(np.concatenate(postings))
+            every = np.concatenate(postings)
             b, blobs = _blobs(every["key"], every, buckets)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(len(b), batch.column("doc_id").type), pa.nulls(len(b), pa.int64()), pa.nulls(len(b), pa.int32())], names=["bucket", "blob", "doc_id", "sig", "n"]
@@ -153,7 +163,15 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
 
     def meet(group: pa.Table) -> pa.Table:
         blob = group.column("blob")
-        every = np.unique(np.frombuffer(b"".join(x for x in blob.to_pylist() if x is not None), _POSTING))
+        every = np.frombuffer(b"".join(x for x in blob.to_pylist() if x is not None), _POSTING)
+        # Keys of one posting go first: they are most.
+        order = np.argsort(every["key"])
+        same = every["key"][order][1:] == every["key"][order][:-1]
+        every = every[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]] if len(order) else every
+        order = np.lexsort((every["sig"], every["key"]))
+        every = every[order]
+        if len(every):
+            every = every[np.concatenate([[True], (every["key"][1:] != every["key"][:-1]) | (every["sig"][1:] != every["sig"][:-1])])]
         band = bands(every["n"])
         # A tile holds a band and the one above it.
         key = np.concatenate([every["key"], every["key"]])
@@ -224,8 +242,10 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * same >= PERCENT * (len(a) + len(b) - same)
 
 
-def member_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """sig, n, bits, members (sorted shingles) of the entities in wanted (sig), one row each."""
+def member_sets(docs: DataFrame, wanted: DataFrame, whole: bool) -> DataFrame:
+    """sig, n and data of the entities in wanted (sig), one row each: the sorted shingles if whole, else the parity bitmap.
+
+    A few entities that are not wanted may be among them."""
     width = 1 << _MEMBER_BITS
     position = F.pmod(F.col("sig"), F.lit(width))
     parts = wanted.select(F.bitmap_bucket_number(position).alias("part"), F.bitmap_bit_position(position).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
@@ -251,18 +271,16 @@ def member_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     if int(sig[i]) not in seen:
                         seen.add(int(sig[i]))
                         members = h[first[i] : first[i + 1]]
-                        out.append((int(sig[i].astype(np.int64)), int(n[i]), parity(members).tobytes(), members.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else ([], [], [], []), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["sig", "n", "bits", "members"])
+                        out.append((int(sig[i].astype(np.int64)), int(n[i]), members.tobytes() if whole else parity(members).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["sig", "n", "data"])
 
-    found = docs.select("text").mapInArrow(run, "sig long, n int, bits binary, members binary")
-    exact = found.join(wanted.select("sig"), "sig", "left_semi")
-    return cut(exact.groupBy("sig").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("members").alias("members")))
+    found = docs.select("text").mapInArrow(run, "sig long, n int, data binary")
+    return cut(found.groupBy("sig").agg(F.first("n").alias("n"), F.first("data").alias("data")))
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b, ...) whose bitmaps allow a link."""
-    small = sets.select("sig", "n", "bits")
-    joined = pairs.join(small.select(F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a")), "a").join(small.select(F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b")), "b")
+    joined = pairs.join(sets.select(F.col("sig").alias("a"), F.col("n").alias("n_a"), F.col("data").alias("bits_a")), "a").join(sets.select(F.col("sig").alias("b"), F.col("n").alias("n_b"), F.col("data").alias("bits_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,10 +291,12 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "shared", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(run, "a long, b long, shared long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by exact intersection."""
-    members = sets.select("sig", "members")
-    joined = pairs.join(members.select(F.col("sig").alias("a"), F.col("members").alias("members_a")), "a").join(members.select(F.col("sig").alias("b"), F.col("members").alias("members_b")), "b")
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, by exact intersection of the sets read again from docs."""
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
+    sets = member_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct(), True)
+    joined = pairs.join(sets.select(F.col("sig").alias("a"), F.col("data").alias("members_a")), "a").join(sets.select(F.col("sig").alias("b"), F.col("data").alias("members_b")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,13 +313,13 @@ def classes(docs: DataFrame) -> DataFrame:
     every = tiles(docs, buckets, frequent(docs, buckets))
     entities, met = every.where(F.col("tile").isNull()), every.where(F.col("tile").isNotNull())
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
-    sets = member_sets(docs, met.select("sig").distinct())
+    sets = member_sets(docs, met.select("sig").distinct(), False)
 
     # First each entity with its likeliest pivot.
     star = met.where((F.col("sig") != F.col("pivot")) & fits(F.col("n"), F.col("pivot_n"))).groupBy(F.col("sig").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("shared"))
     near = cut(_bounded(star, sets))
     best = near.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    first = cut(_verified(best, sets))
+    first = cut(_verified(cut(best), docs))
     found = cut(components(first))
 
     # Then whatever is still apart from its pivot, with all the tile's members of other components.
@@ -309,7 +329,7 @@ def classes(docs: DataFrame) -> DataFrame:
     apart = labelled.where("class <> pivot_class").select("tile", F.col("sig").alias("x"), F.col("n").alias("x_n"), F.col("class").alias("x_class"))
     others = labelled.join(apart.select("tile").distinct(), "tile", "left_semi")
     more = apart.join(others, "tile").where((F.col("x_class") != F.col("class")) & fits(F.col("x_n"), F.col("n"))).select(F.least("x", "sig").alias("a"), F.greatest("x", "sig").alias("b")).groupBy("a", "b").agg(F.count("*").alias("shared"))
-    second = _verified(cut(_bounded(more, sets)).select("a", "b"), sets)
+    second = _verified(cut(_bounded(more, sets)).select("a", "b"), docs)
     linked = components(first.unionByName(second))
 
     ids = entities.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))

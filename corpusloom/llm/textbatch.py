@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Rows handled at once, so that a row's number fits in ROW_BITS.
+ROW_BITS = 13
 #: Bytes of text handled at once; bounds the scratch memory of a Python worker (about 60 bytes for each byte of text).
 SLICE_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -45,12 +47,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of a string column with about SLICE_BYTES of text each; a longer row stands alone."""
+    """Row ranges of a string column with about SLICE_BYTES of text and 2**ROW_BITS rows at most; a longer row stands alone."""
     ends = offsets(column)
     start = 0
     while start < len(column):
         stop = int(np.searchsorted(ends, ends[start] + SLICE_BYTES, side="right")) - 1
-        stop = min(max(stop, start + 1), len(column))
+        stop = min(max(stop, start + 1), start + (1 << ROW_BITS), len(column))
         yield start, stop
         start = stop
 
