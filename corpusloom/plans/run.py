@@ -14,8 +14,6 @@ from corpusloom.functions.url import same_domain
 from corpusloom.operators import crawl, state
 from corpusloom.schemas import ARTICLE, CHECKPOINT, INDEX, MIN_BODY, TITLE_LENGTH
 
-TRANSLATED = {"title", "body"}
-
 
 def decide(candidates: DataFrame, responses: DataFrame, sites: DataFrame, checkpoints: DataFrame, index: DataFrame, scraped_at: str, limit: int | None = None, translator: Callable[[str], str] | None = None) -> DataFrame:
     """Every candidate (source, country_code, norm_url, url, title, date, ord) with its decision and, if parsed, its article.
@@ -42,11 +40,11 @@ def decide(candidates: DataFrame, responses: DataFrame, sites: DataFrame, checkp
     )
 
 
-def run_batch(spark: SparkSession, root: str, batch_id: str, candidates: DataFrame, responses: DataFrame, sites: DataFrame, scraped_at: str, limit: int | None = None, translator: Callable[[str], str] | None = None) -> DataFrame:
-    """Runs a batch against the state under root, commits it once, and returns its statistics by country."""
+def run_batch(spark: SparkSession, root: str, batch_id: str, candidates: DataFrame, responses: DataFrame, sites: DataFrame, scraped_at: str, limit: int | None = None, translator: Callable[[str], str] | None = None, by: str = "country_code") -> DataFrame:
+    """Runs a batch against the state under root, commits it once, and returns its statistics by country (or by source)."""
     index = state.read_state(spark, root, "index", INDEX)
     past = state.read_state(spark, root, "checkpoints", f"{CHECKPOINT}, batch string")
-    checkpoints = _latest(past)
+    checkpoints = latest_checkpoints(past)
     fresh = candidates.join(index.select("country_code", "norm_url").distinct(), ["country_code", "norm_url"], "left_anti")
     decided = decide(fresh, responses, sites, checkpoints, index, scraped_at, limit, translator).persist()
     try:
@@ -57,12 +55,12 @@ def run_batch(spark: SparkSession, root: str, batch_id: str, candidates: DataFra
         columns = [x.split()[0] for x in ARTICLE.split(", ")]
         merged = state.merged_checkpoints(checkpoints.limit(0), decided).withColumn("batch", F.lit(batch_id))
         state.commit_batch(spark, root, batch_id, {"articles": saved.select(*columns), "index": state.new_records(saved, index), "checkpoints": merged, "raw": decided.where("decision in ('saved', 'duplicate')").select(*columns)})
-        return spark.createDataFrame(crawl.run_stats(decided).collect(), "country_code string, saved long, skipped long, errors long")
+        return spark.createDataFrame(crawl.run_stats(decided, by).collect(), f"{by} string, saved long, skipped long, errors long")
     finally:
         decided.unpersist()
 
 
-def _latest(past: DataFrame) -> DataFrame:
+def latest_checkpoints(past: DataFrame) -> DataFrame:
     """Each key's newest non-empty values over all batches."""
     pick = lambda c: F.coalesce(F.max_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", F.col("batch"))), F.lit("")).alias(c)
     return past.groupBy("source", "url_key").agg(pick("etag"), pick("last_modified"), pick("chash"))

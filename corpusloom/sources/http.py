@@ -38,6 +38,16 @@ def get(url: str, etag: str = "", last_modified: str = "", opener: Callable = ur
     return None, None, None, 0
 
 
+def rendered(renderer: Callable[[str], str | None]) -> Callable:
+    """A getter for pages that a browser renders: no validators, status 200 with a page and 0 without."""
+
+    def run(url: str, etag: str = "", last_modified: str = "") -> tuple:
+        html = renderer(url)
+        return html, None, None, 200 if html else 0
+
+    return run
+
+
 def fetch(rows: DataFrame, getter: Callable = get, partitions: int = 64, delay: float = DELAY) -> DataFrame:
     """Responses for rows (url, saved_etag, saved_last_modified, allowed). One host's pages are in one partition, which waits
     between requests; pages that may not be fetched have status 403."""

@@ -146,3 +146,30 @@ def test_stream_like_batch(spark, sites, tmp_path):
     assert state.read_state(spark, root, "index", INDEX).count() == 5
     incremental.start(spark, landed, root, sites, "2026-01-02T00:00:00+00:00").awaitTermination()
     assert state.read_state(spark, root, "index", INDEX).count() == 5
+
+
+def test_full_run(spark, sites, tmp_path):
+    from corpusloom.plans.full import full_run
+
+    listing = lambda ids: "".join(f'<h2><a href="/n/{i}">x</a></h2>' for i in ids) + '<h2><a href="#x">y</a></h2>'
+    web = {"https://a.org/news/": listing([1, 2, 3]), "https://a.org/news?page=1": listing([3, 4]), "https://a.org/news?page=2": listing([4]), "https://a.org/feed": "<rss><channel><item><link>https://a.org/n/4/</link><title>F</title></item></channel></rss>"}
+    web |= {f"https://a.org/n/{i}": page(150 + i) for i in (1, 2, 4)} | {"https://a.org/n/4/": page(154)}
+    recorded = spark.createDataFrame([(u, h, None, None, 200) for u, h in web.items()], RESPONSE)
+    asked = []
+
+    def fetch(rows):
+        asked.append(rows.count())
+        return rows.select("url").join(recorded, "url", "left").select("url", "html", "etag", "last_modified", F.coalesce("status", F.lit(0)).alias("status"))
+
+    with_feed = sites.withColumn("rss_url", F.when(F.col("name") == "B", F.lit("https://a.org/none.xml")))
+    root = str(tmp_path / "state")
+    stats = {r.source: (r.saved, r.skipped, r.errors) for r in full_run(spark, root, "1", with_feed, fetch, "2026-01-01T00:00:00+00:00").collect()}
+    assert stats == {"A": (0, 0, 0), "B": (3, 0, 1)}
+    index = {r.url: r.title for r in state.read_state(spark, root, "index", INDEX).collect()}
+    assert index == {"https://a.org/n/1": "T", "https://a.org/n/2": "T", "https://a.org/n/4/": "F"}
+    again = {r.source: (r.saved, r.skipped, r.errors) for r in full_run(spark, root, "2", with_feed, fetch, "2026-01-02T00:00:00+00:00").collect()}
+    assert again == {"A": (0, 3, 0), "B": (0, 0, 1)}
+
+
+def test_rendered():
+    assert http.rendered(lambda u: "<p>")("u") == ("<p>", None, None, 200) and http.rendered(lambda u: None)("u")[3] == 0
