@@ -5,7 +5,7 @@ have one global order: those of few documents first, those of many last, by hash
 shingle among the first n - ceil(0.8 n) + 1 of each, so entities meet only in tiles of (such a shingle, size band), where
 a band and its neighbour hold all sizes that can link. In a tile every entity is paired with the tile's pivot; pairs are
 bounded from above by the bit counts of hashed parity bitmaps and then compared exactly as sorted arrays. What is not in
-its pivot's component afterwards is paired with all the tile's members of other components. Pairs inside one component
+its pivot's component afterwards meets all members of other components that share the pivot. Pairs inside one component
 need no comparison: only classes are returned, and no link between different texts is lost.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing. Repeated rows are in one class.
@@ -36,6 +36,10 @@ LEVELS = (16, 64, 256, 1024, 4096)
 #: Frequent shingles that may be sent to every worker (4 bytes each); it only orders shingles, results don't depend on it.
 FREQUENT_LIMIT = 1 << 20
 _FREQUENT_BITS = 24
+#: Members of a block.
+BLOCK = 2048
+#: Shingles that a worker holds before it passes them on.
+FLUSH = 1 << 20
 #: Bits of the set of entities that take part in some pair, sent to every worker (2 MB); false members cost time only.
 _MEMBER_BITS = 24
 #: Bits of a shingle's hash.
@@ -88,16 +92,20 @@ def frequent(docs: DataFrame, buckets: int) -> np.ndarray:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = textbatch.as_strings(batch.column("text"))
-            found, seen = [np.zeros(0, np.uint64)], np.zeros(0, np.uint64)
+            found, held, seen = [], 0, np.zeros(0, np.uint64)
             for start, stop in textbatch.slices(column):
                 h, row = _sets(column, start, stop)
                 keep, seen = _unseen(_signatures(h, row, stop - start)[1], seen)
                 found.append(h[keep[row]])
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            times = np.minimum(n, top)
-            low = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
-            b, blobs = _blobs(np.repeat(h, times), np.repeat(low, times), buckets)
-            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+                held += len(found[-1])
+                if held < FLUSH and stop < len(column):
+                    continue
+                h, n = np.unique(np.concatenate(found), return_counts=True)
+                found, held = [], 0
+                times = np.minimum(n, top)
+                low = np.repeat((h & np.uint64(0xFFFFFFFF)).astype("<u4"), times)
+                b, blobs = _blobs(np.repeat(h, times), low, buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def count(group: pa.Table) -> pa.Table:
         low, n = np.unique(np.frombuffer(b"".join(group.column("blob").to_pylist()), "<u4"), return_counts=True)
@@ -125,8 +133,8 @@ def bands(n: np.ndarray) -> np.ndarray:
 
 
 def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
-    """Two kinds of rows. Without a tile: doc_id, sig, n of every document. With one: sig, n and the pivot's, for every
-    tile of two entities or more."""
+    """Two kinds of rows. Without a tile: doc_id, sig, n of every document. With one: sig and n of every member of a tile of
+    two entities or more."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +147,7 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
                 h, row = _sets(column, start, stop)
                 n, sig = _signatures(h, row, stop - start)
                 old = batch.slice(start, stop - start)
-                spread = (sig % np.uint64(buckets)).astype(np.int32)
+                spread = ((sig + np.arange(len(sig), dtype=np.uint64)) % np.uint64(buckets)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(spread), pa.nulls(stop - start, pa.binary()), old.column("doc_id"), pa.array(sig.view(np.int64)), pa.array(n.astype(np.int32))], names=["bucket", "blob", "doc_id", "sig", "n"]
                 )
@@ -184,7 +192,6 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
         at = np.flatnonzero(first)
         size = np.diff(np.concatenate([at, [len(key)]]))
         keep = size[number] > 1
-        pivot = both[at[number]]
         tile = textbatch.mix(key + textbatch.mix(tile_band.astype(np.uint64)))
         k = int(keep.sum())
         docs_rows = group.filter(pc.is_null(blob))
@@ -196,13 +203,11 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
                 "sig": pa.chunked_array([*docs_rows.column("sig").chunks, long(both["sig"][keep])], pa.int64()),
                 "n": pa.chunked_array([*docs_rows.column("n").chunks, pa.array(both["n"][keep].astype(np.int32))], pa.int32()),
                 "tile": pa.chunked_array([pa.nulls(m, pa.int64()), long(tile[keep])], pa.int64()),
-                "pivot": pa.chunked_array([pa.nulls(m, pa.int64()), long(pivot["sig"][keep])], pa.int64()),
-                "pivot_n": pa.chunked_array([pa.nulls(m, pa.int32()), pa.array(pivot["n"][keep].astype(np.int32))], pa.int32()),
             }
         )
 
     rows = docs.select("doc_id", "text").mapInArrow(emit, f"bucket int, blob binary, doc_id {id_type}, sig long, n int")
-    return cut(rows.groupBy("bucket").applyInArrow(meet, f"doc_id {id_type}, sig long, n int, tile long, pivot long, pivot_n int"))
+    return cut(rows.groupBy("bucket").applyInArrow(meet, f"doc_id {id_type}, sig long, n int, tile long"))
 
 
 def _width(n: np.ndarray | int) -> np.ndarray:
@@ -291,6 +296,53 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.select("a", "b", "shared", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(run, "a long, b long, shared long")
 
 
+def _apart_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different classes that share a pivot, one of them apart from it, whose bitmaps allow a link.
+
+    The tiles of one pivot are taken together, so that a pair comes up once and not in every tile. Bitmaps meet in blocks of
+    BLOCK members by BLOCK; no rows are made for pairs that the bound excludes."""
+    rows = labelled.select("pivot", "sig", "n", "class", (F.col("class") != F.col("pivot_class")).alias("apart"))
+    sizes = rows.groupBy("pivot").agg(F.count("*").alias("size"), F.count_if("apart").alias("n_apart")).where("n_apart > 0").drop("n_apart")
+    rows = rows.join(sizes, "pivot").join(sets.select("sig", "data"), "sig")
+    chunk = F.pmod(F.xxhash64("sig"), F.ceil(F.col("size") / BLOCK))
+    packed = rows.groupBy("pivot", chunk.alias("chunk")).agg(F.collect_list(F.struct("sig", "n", "class", "apart", "data")).alias("members"))
+    left = packed.select("pivot", F.filter("members", lambda m: m["apart"]).alias("own")).where(F.size("own") > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = _block_pairs(batch.column("own")[i].as_py(), batch.column("members")[i].as_py())
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return left.join(packed.select("pivot", "members"), "pivot").mapInArrow(run, "a long, b long").distinct()
+
+
+def _block_pairs(own: list[dict], members: list[dict]) -> list[tuple[int, int]]:
+    """The pairs of a block that may link, the lesser signature first."""
+
+    def columns(rows: list[dict], size: int) -> tuple[np.ndarray, ...]:
+        bits = np.stack([_fold(np.frombuffer(r["data"], np.uint8), size) for r in rows]).view(np.uint64)
+        return np.array([r["sig"] for r in rows]), np.array([r["n"] for r in rows], np.int64), np.array([r["class"] for r in rows]), np.array([r["apart"] for r in rows]), bits
+
+    size = min(len(r["data"]) for r in [*own, *members])
+    sig_a, n_a, class_a, _, bits_a = columns(own, size)
+    sig_b, n_b, class_b, apart_b, bits_b = columns(members, size)
+    out = []
+    step = max(1, (1 << 21) // max(1, len(members) * bits_b.shape[1]))
+    for k in range(0, len(own), step):
+        part = slice(k, k + step)
+        total = n_a[part, None] + n_b[None, :]
+        # Two members that are both apart meet twice; the lesser one counts.
+        fits = (class_a[part, None] != class_b[None, :]) & (100 * np.minimum(n_a[part, None], n_b[None, :]) >= PERCENT * np.maximum(n_a[part, None], n_b[None, :])) & (~apart_b[None, :] | (sig_a[part, None] < sig_b[None, :]))
+        differ = np.bitwise_count(bits_a[part, None, :] ^ bits_b[None, :, :]).sum(axis=2, dtype=np.int64)
+        most = (total - differ) // 2
+        for i, j in np.argwhere(fits & (100 * most >= PERCENT * (total - most))):
+            x, y = own[k + i], members[j]
+            out.append((min(x["sig"], y["sig"]), max(x["sig"], y["sig"])))
+    return out
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by exact intersection of the sets read again from docs."""
     if pairs.isEmpty():
@@ -315,6 +367,11 @@ def classes(docs: DataFrame) -> DataFrame:
     fits = lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
     sets = member_sets(docs, met.select("sig").distinct(), False)
 
+    # A tile's pivot is its member of most tiles: an original rather than one of its edited copies, whose own shingles meet nobody.
+    weight = met.groupBy("sig").agg(F.count("*").alias("weight"))
+    central = met.join(weight, "sig").groupBy("tile").agg(F.max(F.struct("weight", "sig", "n")).alias("p"))
+    met = cut(met.select("tile", "sig", "n").join(central.select("tile", F.col("p.sig").alias("pivot"), F.col("p.n").alias("pivot_n")), "tile"))
+
     # First each entity with its likeliest pivot.
     star = met.where((F.col("sig") != F.col("pivot")) & fits(F.col("n"), F.col("pivot_n"))).groupBy(F.col("sig").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("shared"))
     near = cut(_bounded(star, sets))
@@ -322,14 +379,10 @@ def classes(docs: DataFrame) -> DataFrame:
     first = cut(_verified(cut(best), docs))
     found = cut(components(first))
 
-    # Then whatever is still apart from its pivot, with all the tile's members of other components.
+    # Then whatever is still apart from its pivot, with all members of other components that share it.
     label = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_class"))
-    labelled = met.select("tile", "sig", "n", "pivot").join(label("sig"), "sig", "left").join(label("pivot"), "pivot", "left").select("tile", "sig", "n", F.coalesce("sig_class", "sig").alias("class"), F.coalesce("pivot_class", "pivot").alias("pivot_class"))
-    labelled = cut(labelled)
-    apart = labelled.where("class <> pivot_class").select("tile", F.col("sig").alias("x"), F.col("n").alias("x_n"), F.col("class").alias("x_class"))
-    others = labelled.join(apart.select("tile").distinct(), "tile", "left_semi")
-    more = apart.join(others, "tile").where((F.col("x_class") != F.col("class")) & fits(F.col("x_n"), F.col("n"))).select(F.least("x", "sig").alias("a"), F.greatest("x", "sig").alias("b")).groupBy("a", "b").agg(F.count("*").alias("shared"))
-    second = _verified(cut(_bounded(more, sets)).select("a", "b"), docs)
+    labelled = met.select("sig", "n", "pivot").distinct().join(label("sig"), "sig", "left").join(label("pivot"), "pivot", "left").select("sig", "n", "pivot", F.coalesce("sig_class", "sig").alias("class"), F.coalesce("pivot_class", "pivot").alias("pivot_class"))
+    second = _verified(cut(_apart_pairs(cut(labelled), sets)), docs)
     linked = components(first.unionByName(second))
 
     ids = entities.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
