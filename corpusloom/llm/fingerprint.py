@@ -108,18 +108,18 @@ def _fresh(a: Column, b: Column, size: Column) -> Column:
 def _retried(a: Column, b: Column) -> Column:
     """The differing digests by sketches that follow the sets' sizes, larger on failure; set difference as the last resort."""
     size = F.greatest(F.lit(16), F.size(a) + F.size(b)).cast("long")
-    return F.coalesce(_fresh(a, b, size), _fresh(a, b, size * 5 + 3), F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
+    tried = F.aggregate(F.array(size, size * 5 + 3), F.lit(None).cast("int"), lambda found, m: F.coalesce(found, _fresh(a, b, m)))
+    return F.coalesce(tried, F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
 
 
 def differing(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
     """How many digests stand in just one of two sets."""
     minus = F.transform(cells_b, lambda c: F.struct(c["cell"].alias("cell"), (-c["n"]).alias("n"), c["key"].alias("key"), c["check"].alias("check")))
     base = F.when(F.abs(F.size(a) - F.size(b)) <= 3 * BASE, _peeled(_merged(F.concat(cells_a, minus)), F.lit(BASE).cast("long")))
-    parts = F.ceil((F.size(a) + F.size(b)) / F.lit(PART)).cast("long")
-    inside = lambda keys, k: F.filter(keys, lambda d: F.pmod(F.xxhash64(d, F.lit(11)), parts) == k)
+    parts = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / F.lit(PART))).cast("long")
+    inside = lambda keys, k: F.when(parts == 1, keys).otherwise(F.filter(keys, lambda d: F.pmod(F.xxhash64(d, F.lit(11)), parts) == k))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.struct(inside(a, k).alias("a"), inside(b, k).alias("b")))
-    split = F.aggregate(pairs, F.lit(0), lambda s, p: s + _retried(p["a"], p["b"]))
-    return F.coalesce(base, F.when(parts <= 1, _retried(a, b)).otherwise(split))
+    return F.coalesce(base, F.aggregate(pairs, F.lit(0), lambda s, p: s + _retried(p["a"], p["b"])))
 
 
 def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
@@ -162,7 +162,10 @@ def report(docs: DataFrame) -> DataFrame:
     texts = met.select("doc_id", n.cast("long").alias("n_chars"), "keys", "next_keys", edited.alias("edited"))
     keyed = texts.select("doc_id", "n_chars", "keys", "next_keys", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("edited_keys"))
     cells = keyed.withColumns({"cells": sketch(F.col("keys")), "next_cells": sketch(F.col("next_keys")), "edited_cells": sketch(F.col("edited_keys"))})
-    near = lambda other: likeness(F.col("keys"), F.col(f"{other}_keys"), F.col("cells"), F.col(f"{other}_cells"))
-    return cells.select(
-        "doc_id", "n_chars", "edited_sha256", written(F.col("cells"), F.col("keys")).alias("fingerprint"), written(F.col("edited_cells"), F.col("edited_keys")).alias("edited_fingerprint"), near("edited").alias("near_edited"), near("next").alias("near_next")
+    # One expression serves both comparisons.
+    others = F.array(*[F.struct(F.col(f"{o}_keys").alias("keys"), F.col(f"{o}_cells").alias("cells")) for o in ("edited", "next")])
+    near = F.transform(others, lambda o: likeness(F.col("keys"), o["keys"], F.col("cells"), o["cells"]))
+    compared = cells.select("doc_id", "n_chars", "edited_sha256", "keys", "cells", "edited_keys", "edited_cells", near.alias("near"))
+    return compared.select(
+        "doc_id", "n_chars", "edited_sha256", written(F.col("cells"), F.col("keys")).alias("fingerprint"), written(F.col("edited_cells"), F.col("edited_keys")).alias("edited_fingerprint"), F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next")
     )
