@@ -24,7 +24,7 @@ from corpusloom.llm import textbatch
 #: Fixed pattern that cuts a text into pre-tokens for this kind of vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens whose ids a worker keeps; when full, it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 150_000
 #: Leaves of all the trees that are updated together.
 TREE_LEAVES = 1 << 18
 _NONE = np.int64(1) << 62

@@ -40,7 +40,7 @@ MAX_REPEAT_PERCENT = 50
 #: Languages whose bands may be broadcast; beyond it the bands are joined by shuffle.
 BROADCAST_GROUPS = 10_000
 #: Words whose pieces a worker keeps.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
 
 METRICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, tokens_a_word double, chars_a_token double, fallback double, entropy double"
 _SYMBOL = np.zeros(256, dtype=bool)

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 #: Rows handled at once, so that a row's number fits in ROW_BITS.
 ROW_BITS = 13
 #: Bytes of text handled at once; bounds the scratch memory of a Python worker (about 60 bytes for each byte of text).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
