@@ -1,12 +1,12 @@
 """Personal data: base patterns, and terms that disclose protected values.
 
 Base spans are e-mail addresses, IP addresses, payment cards and telephone numbers. For every protected value c and every
-term t within WINDOW words of it, the corpus tells in how many different contexts they stand together (copies of a
-passage are one context), how often c occurs and in how many texts t does. The pointwise mutual information
+term t within WINDOW words of it, the corpus tells in how many different texts they stand together, in how many c does
+and in how many t does (copies of a text are one text in all three counts). The pointwise mutual information
 PMI(c; t) against the information content -ln p(c) is the disclosure of c by t. Terms whose disclosure of some value
 reaches the threshold are spans too, and are generalised or removed.
 
-Nulls count as empty texts, which have no spans. Repeated rows are scanned alike; they do not add contexts. Offsets are
+Nulls count as empty texts, which have no spans. Repeated rows are scanned alike; they do not add to the counts. Offsets are
 code points, end exclusive.
 """
 
@@ -31,9 +31,7 @@ from corpusloom.session import cut
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on each side of a value whose terms may disclose it.
 WINDOW = 8
-#: Words on each side that make a context.
-CONTEXT = 2
-#: Different contexts in which a term must stand near a value.
+#: Different texts in which a term must stand near a value.
 MIN_CONTEXTS = 3
 #: PMI(c; t) / -ln p(c) from which a term discloses.
 DISCLOSURE = 0.8
@@ -46,7 +44,6 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\W\d_]+")
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -95,22 +92,47 @@ def _hash(x: str) -> int:
     return int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _code_points(words: textbatch.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's start and end in its row, in code points."""
+    chars = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+    base = chars[words.bounds[words.row]]
+    return chars[words.start] - base, chars[words.end] - base
+
+
 def neighbourhoods(docs: DataFrame) -> DataFrame:
-    """value, context, terms: for every occurrence of a protected value, hashes of it and its context, and the terms near it."""
+    """value, at, terms: for every protected value of a text, hashes of it and of the text, and the terms near it anywhere there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            column, keys = textbatch.as_strings(batch.column("text")), batch.column("at").to_numpy()
+            found = [base_spans(text) for text in column.to_pylist()]
+            rows = np.flatnonzero([len(spans) > 0 for spans in found])
             made = []
-            for text in textbatch.as_strings(batch.column("text")).to_pylist():
-                spans = base_spans(text)
-                for a, b, kind in spans:
-                    left = _WORD.findall(text[max(0, a - 40 * WINDOW) : a])[-WINDOW:]
-                    right = _WORD.findall(text[b : b + 40 * WINDOW])[:WINDOW]
-                    terms = sorted({w.lower() for w in left + right if len(w) >= MIN_LETTERS})
-                    made.append((_hash(f"{kind}:{text[a:b].lower()}"), _hash(" ".join(left[-CONTEXT:] + ["|"] + right[:CONTEXT])), terms))
-            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.list_(pa.string()))], names=["value", "context", "terms"])
-
-    return docs.select("text").mapInArrow(run, "value long, context long, terms array<string>")
+            own = column.take(pa.array(rows, pa.int64()))
+            for start, stop in textbatch.slices(own):
+                words = letter_words(own, start, stop)
+                left, right = _code_points(words)
+                border = np.searchsorted(words.row, np.arange(words.rows + 1))
+                raw = words.data.tobytes()
+                for r in range(words.rows):
+                    row, lo, hi = rows[start + r], border[r], border[r + 1]
+                    text = column[int(row)].as_py()
+                    near: dict[int, set[str]] = {}
+                    for a, b, kind in found[row]:
+                        before = lo + int(np.searchsorted(right[lo:hi], a, side="right"))
+                        after = lo + int(np.searchsorted(left[lo:hi], b, side="left"))
+                        places = [*range(max(lo, before - WINDOW), before), *range(after, min(hi, after + WINDOW))]
+                        terms = {raw[words.start[i] : words.end[i]].decode() for i in places if right[i] - left[i] >= MIN_LETTERS}
+                        near.setdefault(_hash(f"{kind}:{text[a:b].lower()}"), set()).update(terms)
+                    made += [(value, int(keys[row]), sorted(terms)) for value, terms in near.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.list_(pa.string()))], names=["value", "at", "terms"])
+
+    return _keyed(docs).mapInArrow(run, "value long, at long, terms array<string>").distinct()
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The texts (null as empty) with their hashes `at`, by which copies are one text."""
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("at", F.xxhash64("text"))
 
 
 def term_hash(term: str) -> int:
@@ -120,7 +142,7 @@ def term_hash(term: str) -> int:
 
 
 def frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """term_key, n_texts: in how many texts each wanted term (sorted hashes) stands."""
+    """term_key, n_texts: in how many different texts each wanted term (sorted hashes, one at least) stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,30 +150,41 @@ def frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             for start, stop in textbatch.slices(column):
                 words = letter_words(column, start, stop)
                 h = words.hashes()
-                at = np.minimum(np.searchsorted(wanted, h), max(len(wanted) - 1, 0))
-                hit = wanted[at] == h if len(h) else np.zeros(0, bool)
-                pair = np.unique(np.stack([words.row[hit].astype(np.int64), at[hit]]), axis=1)
-                places, n = np.unique(pair[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(wanted[places].view(np.int64)), pa.array(n, pa.int64())], names=["term_key", "n"])
+                at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+                hit = wanted[at] == h
+                pair = np.unique(words.row[hit].astype(np.int64) * len(wanted) + at[hit])
+                rows, n = np.unique(pair // len(wanted), return_counts=True)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(pair % len(wanted), pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("at").take(pa.array(rows + start, pa.int64())), lists], names=["at", "places"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column("places").flatten().to_numpy(), minlength=len(wanted))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(wanted[seen].view(np.int64)), pa.array(total[seen])], names=["term_key", "n"])
 
-    return docs.select("text").mapInArrow(run, "term_key long, n long").groupBy("term_key").agg(F.sum("n").alias("n_texts"))
+    # Copies of a text give equal rows, one of which is left before terms are counted.
+    each = _keyed(docs).mapInArrow(run, "at long, places array<int>").distinct()
+    return each.mapInArrow(count, "term_key long, n long").groupBy("term_key").agg(F.sum("n").alias("n_texts"))
 
 
 def disclosing_terms(docs: DataFrame) -> DataFrame:
     """term, term_key, disclosure (the largest over the protected values) of the terms to be treated."""
-    near = cut(neighbourhoods(docs).distinct())
-    values = near.groupBy("value").agg(F.countDistinct("context").alias("n_value"))
-    pairs = near.select("value", "context", F.explode("terms").alias("term")).distinct().groupBy("value", "term").agg(F.count("*").alias("n_pair"))
+    near = cut(neighbourhoods(docs))
+    values = near.groupBy("value").agg(F.count("*").alias("n_value"))
+    pairs = near.select("value", F.explode("terms").alias("term")).groupBy("value", "term").agg(F.count("*").alias("n_pair"))
     pairs = cut(pairs.where(F.col("n_pair") >= MIN_CONTEXTS).join(values, "value"))
     key = F.udf(term_hash, "long")
     terms = cut(pairs.select("term").distinct().withColumn("term_key", key("term")))
-    total = docs.count()
+    total = _keyed(docs).select("at").distinct().count()
     parts, n = [], terms.count()
     # The wanted terms go to the workers in blocks of bounded size.
     blocks = max(1, math.ceil(n / BROADCAST_TERMS))
     for k in range(blocks if n else 0):
         wanted = np.sort(np.array([r["term_key"] for r in terms.where(F.pmod("term_key", F.lit(blocks)) == k).select("term_key").collect()], dtype=np.int64).view(np.uint64))
-        parts.append(frequencies(docs, wanted))
+        if len(wanted):
+            parts.append(frequencies(docs, wanted))
     counts = parts[0] if parts else terms.select("term_key", F.lit(0).cast("long").alias("n_texts"))
     for part in parts[1:]:
         counts = counts.unionByName(part)
@@ -169,10 +202,9 @@ def _term_spans(words: textbatch.Words, h: np.ndarray, wanted: np.ndarray) -> li
         return out
     at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
     hit = np.flatnonzero(wanted[at] == h)
-    chars = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+    left, right = _code_points(words)
     for i in hit:
-        base = chars[words.bounds[words.row[i]]]
-        out[words.row[i]].append((int(chars[words.start[i]] - base), int(chars[words.end[i]] - base), "term"))
+        out[words.row[i]].append((int(left[i]), int(right[i]), "term"))
     return out
 
 

@@ -65,3 +65,29 @@ def test_disclosing_terms_both_ways(spark, monkeypatch):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.scan(docs, pii.disclosing_terms(docs)).count() == 0
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.term for r in pii.disclosing_terms(docs).collect()}
+
+
+def test_fixed_phrase_in_different_texts(spark):
+    filler = [f"other matter {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}x" for i in range(100)]
+    texts = [f"{'abcde'[i]}start goes first. Contact Annabel Example at ann@x.org for details, {'abcde'[i]}end" for i in range(5)]
+    assert "annabel" in found(spark, filler + texts)
+
+
+def test_copies_are_one_text(spark):
+    filler = [f"other matter {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}x" for i in range(100)]
+    texts = ["first Zacharias writes za@x.org now", "then za@x.org answers Zacharias", "so Zacharias had za@x.org again"]
+    assert "zacharias" in found(spark, filler + texts + texts[:1] * 300)
+
+
+def test_window_is_eight_words(spark):
+    filler = [f"other matter {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}x" for i in range(100)]
+    texts = [f"Far{'abc'[i]}far Quentin {'1 - ' * 120} one two three {'abc'[i]}four five six seven qu@x.org" for i in range(3)]
+    got = found(spark, filler + texts)
+    assert "quentin" in got and "one" in got
+    texts = [t.replace("one", "one extra") for t in texts]
+    assert "quentin" not in found(spark, filler + texts)
