@@ -3,11 +3,10 @@
 Each text is measured with a public vocabulary that falls back to bytes: tokens a word (fertility), characters a token,
 share of byte-fallback tokens, and token entropy (collision entropy, bits). Over the whole corpus each language gets its
 own bands from the median and quartiles of these measures; a text outside a band of its language is rejected, as is one
-that fails the base rules.
+that fails the base rules. Bands are centred on their own language at every size; the fewer its texts, the wider they are.
 
-Nulls and empty texts have no words and fail the base rules. A null language is a group of its own. Groups with fewer
-texts than MIN_GROUP use the bands of the whole corpus. Repeated rows are judged alike. Extra columns of the documents
-are passed on by `accepted`.
+Nulls and empty texts have no words and fail the base rules. A null language is a group of its own. Repeated rows are
+judged alike. Extra columns of the documents are passed on by `accepted`.
 """
 
 from __future__ import annotations
@@ -30,8 +29,9 @@ CHARS_A_TOKEN_BELOW = 9.0
 FALLBACK_ABOVE = 12.0
 #: A byte-fallback share under this is never rejected.
 FALLBACK_FREE = 0.15
-#: Texts from which a language has bands of its own.
-MIN_GROUP = 200
+#: A language of n texts has bands wider by PRIOR_TEXTS / n of the square of PRIOR_SPREAD x its median.
+PRIOR_TEXTS = 25
+PRIOR_SPREAD = 0.1
 #: Measures are counted in steps of 1 / GRID for exact quantiles of bounded state.
 GRID = 256
 #: Base rules.
@@ -171,16 +171,11 @@ def metrics(docs: DataFrame, path: str) -> DataFrame:
 
 
 def _quantiles(measured: DataFrame, name: str, points: list[float]) -> DataFrame:
-    """Quantiles of one measure by language, from counts on a fixed grid; the group with all_langs is the whole corpus."""
+    """Quantiles of one measure by language, from counts on a fixed grid."""
     counts = measured.groupBy("lang", F.floor(F.col(name) * GRID).alias("cell")).agg(F.count("*").alias("n"))
-    both = counts.select(F.lit(False).alias("all_langs"), "lang", "cell", "n").unionByName(
-        counts.groupBy("cell").agg(F.sum("n").alias("n")).select(F.lit(True).alias("all_langs"), F.lit(None).cast("string").alias("lang"), "cell", "n")
-    )
-    group = Window.partitionBy("all_langs", "lang")
-    ranked = both.withColumn("upto", F.sum("n").over(group.orderBy("cell"))).withColumn("total", F.sum("n").over(group))
-    return ranked.groupBy("all_langs", "lang").agg(
-        *[F.min(F.when(F.col("upto") >= F.col("total") * p, F.col("cell") / GRID)).alias(f"{name}_{int(p * 100)}") for p in points], F.max("total").alias(f"{name}_total")
-    )
+    group = Window.partitionBy("lang")
+    ranked = counts.withColumn("upto", F.sum("n").over(group.orderBy("cell"))).withColumn("total", F.sum("n").over(group))
+    return ranked.groupBy("lang").agg(*[F.min(F.when(F.col("upto") >= F.col("total") * p, F.col("cell") / GRID)).alias(f"{name}_{int(p * 100)}") for p in points], F.max("total").alias("total"))
 
 
 def bands(measured: DataFrame) -> DataFrame:
@@ -192,15 +187,15 @@ def bands(measured: DataFrame) -> DataFrame:
         q = _quantiles(usable, name, [0.5, point])
         middle, other = F.col(f"{name}_50"), F.col(f"{name}_{int(point * 100)}")
         spread = F.greatest(F.abs(other - middle) / 0.6745, 0.02 * middle)
+        spread = F.sqrt(spread * spread + PRIOR_TEXTS / F.col("total") * F.pow(PRIOR_SPREAD * middle, F.lit(2.0)))
         limit = middle + sign * width * spread
         if name == "fallback":
             limit = F.greatest(limit, F.lit(FALLBACK_FREE))
-        q = q.select("all_langs", F.col("lang").alias(f"lang_{name}"), F.col(f"{name}_total").alias("total"), limit.alias(f"{'max' if sign > 0 else 'min'}_{name}"))
+        q = q.select(F.col("lang").alias(f"lang_{name}"), limit.alias(f"{'max' if sign > 0 else 'min'}_{name}"))
         if found is None:
             found = q.withColumnRenamed(f"lang_{name}", "lang")
         else:
-            q = q.drop("total").withColumnRenamed("all_langs", "again")
-            found = found.join(q, (F.col("again") == F.col("all_langs")) & F.col("lang").eqNullSafe(F.col(f"lang_{name}")), "left").drop("again", f"lang_{name}")
+            found = found.join(q, F.col("lang").eqNullSafe(F.col(f"lang_{name}")), "left").drop(f"lang_{name}")
     return found
 
 
@@ -209,20 +204,18 @@ def verdicts(docs: DataFrame, path: str) -> DataFrame:
     measured = cut(metrics(docs, path))
     limits = cut(bands(measured))
     names = ["max_tokens_a_word", "min_entropy", "min_chars_a_token", "max_fallback"]
-    whole = limits.where("all_langs").select(*[F.col(n).alias(f"all_{n}") for n in names])
-    row = whole.first()
-    own = limits.where(~F.col("all_langs") & (F.col("total") >= MIN_GROUP)).select(F.col("lang").alias("band_lang"), *names)
+    own = limits.select(F.col("lang").alias("band_lang"), *names)
     if own.count() <= BROADCAST_GROUPS:
         own = F.broadcast(own)
     joined = measured.join(own, F.col("lang").eqNullSafe(F.col("band_lang")), "left").drop("band_lang")
-    limit = lambda n: F.coalesce(F.col(n), F.lit(row[f"all_{n}"] if row else None).cast("double"))
+    # A language without bands has no text that the base rules keep.
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     outside = F.array_compact(
         F.array(
-            F.when(F.col("tokens_a_word") > limit("max_tokens_a_word"), F.lit("tokens_a_word")),
-            F.when(F.col("entropy") < limit("min_entropy"), F.lit("entropy")),
-            F.when(F.col("chars_a_token") < limit("min_chars_a_token"), F.lit("chars_a_token")),
-            F.when(F.col("fallback") > limit("max_fallback"), F.lit("fallback")),
+            F.when(F.col("tokens_a_word") > F.col("max_tokens_a_word"), F.lit("tokens_a_word")),
+            F.when(F.col("entropy") < F.col("min_entropy"), F.lit("entropy")),
+            F.when(F.col("chars_a_token") < F.col("min_chars_a_token"), F.lit("chars_a_token")),
+            F.when(F.col("fallback") > F.col("max_fallback"), F.lit("fallback")),
         )
     )
     return joined.withColumn("base_failed", base).withColumn("outside", outside).withColumn("kept", ~base & (F.size("outside") == 0)).drop(*names)

@@ -61,3 +61,27 @@ def test_bands_reject_junk(spark):
     kept = {r.doc_id for r in quality.report(docs, PATH).where("kept").collect()}
     assert len(kept & set(range(300))) >= 297
     assert not kept & set(range(300, 330))
+
+
+def words_of(rng, letters):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(rng.randint(60, 150)))
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 40, 199])
+def test_small_languages_have_own_bands(spark, size):
+    rng = random.Random(size)
+    english = "the of and to in that is was for on with as by at from this have not are but which had they you were their one all there been her has when who will more no if out so said what up its about into than them can only other new some could time these two may then do first any my now such like our over man me even most made after also did many before must through".split()
+    rows = [(" ".join(rng.choice(english) for _ in range(rng.randint(60, 150))), "en") for _ in range(600)]
+    for lang, letters in (("el", "αβγδεζηθικλμνξοπρστυφχψω"), ("ar", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"), (None, "კლმნოპჟრსტუფქღყშჩცძწჭხ")):
+        rows += [(words_of(rng, letters), lang) for _ in range(size)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    lost = quality.report(docs, PATH).where("not kept and not base_failed").select("doc_id", "outside").collect()
+    assert [r for r in lost if r.doc_id >= 600] == []
+    assert quality.accepted(docs, PATH).where("lang is null").count() == size
+
+
+def test_small_language_rejects_junk(spark):
+    rng = random.Random(8)
+    rows = [words_of(rng, "αβγδεζηθικλμνξοπρστυφχψω") for _ in range(100)] + [" ".join("☃☂♞♜"[i % 4] * 12 + str(k) for k in range(80)) for i in range(4)]
+    docs = spark.createDataFrame([(i, t, "el") for i, t in enumerate(rows)], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in quality.report(docs, PATH).where("kept").collect()} == set(range(100))
