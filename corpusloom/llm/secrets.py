@@ -2,9 +2,10 @@
 
 Labelled credentials (values that the base patterns find in the corpus, FIT_VALUES of them at most, and examples of public
 credential formats) make a prefix tree over character classes. States whose futures agree by Hoeffding's bound are merged
-into a probabilistic automaton. Every maximal run of MIN_RUN or more credential characters in every whole text is scored by
-its likelihood under the automaton against a class-bigram model of ordinary runs; runs that fit a format are added to the
-base patterns' spans.
+into a probabilistic automaton. In every run of credential characters outside the base patterns' spans, each part of MIN_RUN
+or more that starts at the run's start or after a joint and ends at the run's end or before a joint is scored by its
+likelihood under the automaton against a class-bigram model of ordinary runs; the best parts that fit a format are added
+to the base patterns' spans.
 
 Nulls count as empty texts, which have no spans. Repeated rows are scanned alike. Offsets are code points, end exclusive.
 """
@@ -34,6 +35,10 @@ RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 #: Parts of the keywords, one of which stands in any text with an assignment (after lower-casing).
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 MIN_RUN = 16
+#: Characters of runs that may join a credential to other text.
+JOINTS = frozenset("/=.-_+")
+#: Least probability of a move, an end or a pair.
+FLOOR = 1e-4
 #: Values of the corpus and ordinary runs that the fit may read, those of least hash.
 FIT_VALUES = 1_000
 ALPHA = 0.05
@@ -174,7 +179,7 @@ class Automaton:
             edges = [(r, c, s) for r in settled for c, s in self.moves[r].items() if s not in known]
         return self
 
-    def likelihood(self, s: str, floor: float = 1e-4) -> float:
+    def likelihood(self, s: str, floor: float = FLOOR) -> float:
         """ln P(s), unseen moves counted with a small probability."""
         state, total = 0, 0.0
         for c in s:
@@ -192,8 +197,13 @@ class Model:
     pairs: dict[str, float]
     least: float
 
+    def __post_init__(self) -> None:
+        g = self.grammar
+        self.steps = [{c: (math.log(max(k / n, FLOOR)), g.moves[q][c]) for c, k in g.taken[q].items()} for q, n in enumerate(g.reached)]
+        self.ends = [math.log(max(e / max(n, 1), FLOOR)) for e, n in zip(g.ended, g.reached, strict=True)]
+
     def ordinary(self, s: str) -> float:
-        lost = math.log(1e-4)
+        lost = math.log(FLOOR)
         return sum(self.pairs.get(s[i : i + 2], lost) for i in range(len(s) - 1))
 
     def fits(self, run: str) -> bool:
@@ -201,6 +211,41 @@ class Model:
         p = self.grammar.likelihood(s)
         return p - self.ordinary(s) >= MIN_RATIO and p / len(s) >= self.least
 
+    def parts(self, run: str) -> list[tuple[int, int]]:
+        """The parts between joints that fit, without overlaps, those furthest above the least likelihood first; else the whole run if it fits.
+
+        All starts are followed at once; a joint that no credential has in a start's state ends it. Starts in one state have
+        the same future, so one that is behind another of them both in likelihood and in ratio is dropped.
+        """
+        s, lost, found = symbols(run), math.log(FLOOR), []
+        now: dict[int, list[tuple[float, float, int]]] = {}
+        for i, c in enumerate(s):
+            if not i or s[i - 1] in JOINTS:
+                now.setdefault(0, []).append((0.0, 0.0, i))
+            pair = self.pairs.get(s[i - 1 : i + 1], lost) if i else 0.0
+            moved: dict[int, list[tuple[float, float, int]]] = {}
+            for state, starts in now.items():
+                if c in JOINTS and c not in self.steps[state]:
+                    continue
+                gain, to = self.steps[state].get(c, (lost, 0))
+                moved.setdefault(to, []).extend((over + gain - self.least, ratio + gain - (pair if i > a else 0.0), a) for over, ratio, a in starts)
+            for state, starts in moved.items():
+                if len(starts) > 1:
+                    best, kept = -math.inf, []
+                    for x in sorted(starts, key=lambda x: (-x[0], -x[1], -x[2])):
+                        if x[1] > best:
+                            best = x[1]
+                            kept.append(x)
+                    moved[state] = kept
+            now = moved
+            if i + 1 == len(s) or s[i + 1] in JOINTS:
+                found += [(over + self.ends[q], a, i + 1) for q, starts in now.items() for over, ratio, a in starts if i + 1 - a >= MIN_RUN and over + self.ends[q] >= 0 and ratio + self.ends[q] >= MIN_RATIO]
+        out: list[tuple[int, int]] = []
+        for _, a, b in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
+            if all(b <= x or y <= a for x, y in out):
+                out.append((a, b))
+        return out or ([(0, len(run))] if self.fits(run) else [])
+
 
 def learn(credentials: list[str], ordinary: list[str]) -> Model:
     """A model from labelled credentials and ordinary runs."""
@@ -245,12 +290,14 @@ def fit(docs: DataFrame) -> Model:
 
 
 def format_spans(text: str, base: list[tuple[int, int, str]], model: Model) -> list[tuple[int, int, str]]:
-    """Runs that fit a credential format and touch no base span."""
+    """Parts of runs that fit a credential format, outside the base spans."""
     out = []
     for m in RUN.finditer(text):
-        a, b = m.start(), m.end()
-        if not any(s < b and a < e for s, e, _ in base) and model.fits(m[0]):
-            out.append((a, b, "format"))
+        at = m.start()
+        for a, b in [*sorted((s, e) for s, e, _ in base if s < m.end() and m.start() < e), (m.end(), m.end())]:
+            if a - at >= MIN_RUN:
+                out += [(at + x, at + y, "format") for x, y in model.parts(text[at:a])]
+            at = max(at, b)
     return out
 
 

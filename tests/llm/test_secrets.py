@@ -65,3 +65,29 @@ def test_fit_and_empty(spark):
     assert secrets.scan(docs, secrets.fit(docs)).count() == 2
     none = docs.limit(0)
     assert secrets.scan(none, secrets.fit(none)).count() == 0
+
+
+@pytest.mark.parametrize("before,after", [("", "."), ("key=", ""), ("https://host.org/a/", "/b"), ("the.", ".html"), ("x-", "=")])
+def test_joined_to_other_text(model, before, after):
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    fresh = ["ghp_" + "".join(rng.choice(letters) for _ in range(36)) for _ in range(50)]
+    hit = 0
+    for x in filter(model.fits, fresh):
+        text = f"see {before}{x}{after} here"
+        a = text.index(x)
+        hit += (a, a + len(x), "format") in secrets.format_spans(text, secrets.base_spans(text), model)
+    assert hit >= 45
+
+
+def test_base_span_in_a_run(model):
+    rng = random.Random(13)
+    x = next(filter(model.fits, ("ghp_" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(36)) for _ in range(50))))
+    text = f"{'0a' * 12}/{x}"
+    base = secrets.base_spans(text)
+    assert base == [(0, 24, "hex")]
+    assert secrets.format_spans(text, base, model) == [(25, 65, "format")]
+
+
+def test_many_joints(model):
+    assert secrets.format_spans("a." * 20000, [], model) == []
