@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import textbatch
-from corpusloom.llm.toxicity import letter_words
+from corpusloom.llm.toxicity import letter_words, paired
 from corpusloom.session import cut
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -37,6 +37,7 @@ MIN_CONTEXTS = 3
 DISCLOSURE = 0.8
 #: Disclosing terms that may be sent to every worker (8 bytes each); beyond it they are joined to the texts.
 BROADCAST_TERMS = 500_000
+#: Letters of a term; a pair of letters of a script without spaces is enough.
 MIN_LETTERS = 3
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -122,8 +123,8 @@ def neighbourhoods(docs: DataFrame) -> DataFrame:
                         before = lo + int(np.searchsorted(right[lo:hi], a, side="right"))
                         after = lo + int(np.searchsorted(left[lo:hi], b, side="left"))
                         places = [*range(max(lo, before - WINDOW), before), *range(after, min(hi, after + WINDOW))]
-                        terms = {raw[words.start[i] : words.end[i]].decode() for i in places if right[i] - left[i] >= MIN_LETTERS}
-                        near.setdefault(_hash(f"{kind}:{text[a:b].lower()}"), set()).update(terms)
+                        terms = {raw[words.start[i] : words.end[i]].decode() for i in places}
+                        near.setdefault(_hash(f"{kind}:{text[a:b].lower()}"), set()).update(t for t in terms if len(t) >= (2 if paired(t) else MIN_LETTERS))
                     made += [(value, int(keys[row]), sorted(terms)) for value, terms in near.items()]
             yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.list_(pa.string()))], names=["value", "at", "terms"])
 

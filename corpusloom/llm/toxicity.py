@@ -1,6 +1,7 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Words are runs of letters, lower-cased. A word's features are the word and its prefixes of PREFIXES code points, so that
+Words are runs of Unicode letters with their marks, lower-cased; of Han and kana, whose words have no spaces, each pair of
+neighbours is a word (a letter alone between others is one too). A word's features are the word and its prefixes of PREFIXES code points, so that
 inflected and compound forms share evidence. Each feature's log-odds between toxic and clean training texts has a
 Dirichlet prior in proportion to its overall frequency; only features that are significant by their z-score are kept.
 A word scores the largest log-odds of its kept features, any other word a small negative value. A linear-time scan finds
@@ -14,6 +15,7 @@ texts have no segments and get the curve's lowest score. Rows with a null label
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -45,7 +47,69 @@ HELD_OUT_OF, HELD_OUT = 4, 2
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _LETTER[65:91] = True
-_LETTER[128:] = True
+
+_OTHER, _ALPHA, _MARK, _PAIRED = range(4)
+_kinds: list[np.ndarray] = []
+
+
+def kinds() -> np.ndarray:
+    """The kind of every code point: letter, mark (part of the word before it), letter of a script without spaces, or other."""
+    if not _kinds:
+        names = {"L": _ALPHA, "M": _MARK}
+        table = np.array([names.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x110000)], dtype=np.int8)
+        # Variation selectors follow emoji, too.
+        table[0xFE00:0xFE10] = _OTHER
+        for low, high in ((0x3005, 0x3008), (0x3041, 0x3100), (0x31F0, 0x3200), (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x20000, 0x323B0)):
+            part = table[low:high]
+            part[part == _ALPHA] = _PAIRED
+        _kinds.append(table)
+    return _kinds[0]
+
+
+def paired(word: str) -> bool:
+    """Whether a word is of a script without spaces."""
+    return word[:1] > "\x7f" and kinds()[ord(word[0])] == _PAIRED
+
+
+def _classes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of every byte's character, marks counted as what they follow, and the places of characters that aren't marks."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    size = np.diff(np.concatenate([lead, [len(data)]]))
+    code = data[lead].astype(np.int64)
+    code = np.where(size == 1, code, code & (0x7F >> size))
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        code[more] = (code[more] << 6) | (data[lead[more] + k] & 0x3F)
+    kind = kinds()[code]
+    begins = np.zeros(len(data) + 1, bool)
+    begins[bounds] = True
+    kind[begins[lead] & (kind == _MARK)] = _OTHER
+    owner = np.maximum.accumulate(np.where(kind == _MARK, 0, np.arange(len(kind))))
+    return np.repeat(kind[owner], size), lead[kind != _MARK]
+
+
+def _pairs(words: textbatch.Words, kind: np.ndarray, heads: np.ndarray) -> None:
+    """Divides words at the borders of scripts without spaces, and gives their neighbouring letters as pairs."""
+    n = len(kind)
+    first, last = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    first[words.start] = last[words.end] = True
+    border = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] != _OTHER) & (kind[:-1] != _OTHER)) + 1
+    first[border] = last[border] = True
+    start, end = np.flatnonzero(first), np.flatnonzero(last)
+    plain = kind[start] != _PAIRED
+    letters = heads[kind[heads] == _PAIRED]
+    span = np.searchsorted(start, letters, side="right") - 1
+    follow = np.concatenate([letters[1:], [n]]) if len(letters) else letters
+    stop = np.minimum(follow, end[span])
+    same = np.concatenate([span[1:] == span[:-1], [False]]) if len(letters) else np.zeros(0, bool)
+    alone = ~same & ~np.concatenate([[False], same[:-1]]) if len(letters) else same
+    pair_end = np.concatenate([stop[1:], [n]]) if len(letters) else stop
+    begin = np.concatenate([start[plain], letters[same], letters[alone]])
+    finish = np.concatenate([end[plain], pair_end[same], stop[alone]])
+    order = np.argsort(begin, kind="stable")
+    words.start, words.end = begin[order], finish[order]
+
+
 
 
 @dataclass
@@ -71,7 +135,7 @@ class Model:
 
 
 def letter_words(column: pa.Array, start: int, stop: int) -> textbatch.Words:
-    """The runs of letters of rows start:stop, lower-cased. Bytes of other scripts count as letters."""
+    """The words of rows start:stop, lower-cased."""
     lowered = pc.utf8_lower(column.slice(start, stop - start))
     words = textbatch.Words.__new__(textbatch.Words)
     at = textbatch.offsets(lowered)
@@ -79,7 +143,8 @@ def letter_words(column: pa.Array, start: int, stop: int) -> textbatch.Words:
     words.data = np.frombuffer(buffer, np.uint8)[at[0] : at[-1]] if buffer is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
     words.bounds, words.rows = at - at[0], stop - start
     solid = np.zeros(len(words.data) + 2, np.int8)
-    solid[1:-1] = _LETTER[words.data]
+    kind, heads = _classes(words.data, words.bounds) if len(words.data) and words.data.max() > 127 else (None, None)
+    solid[1:-1] = _LETTER[words.data] if kind is None else kind != _OTHER
     change = np.diff(solid)
     first, last = change == 1, change == -1
     inner = words.bounds[1:-1]
@@ -88,6 +153,8 @@ def letter_words(column: pa.Array, start: int, stop: int) -> textbatch.Words:
     first[joined] = True
     last[joined] = True
     words.start, words.end = np.flatnonzero(first), np.flatnonzero(last)
+    if kind is not None and (kind == _PAIRED).any():
+        _pairs(words, kind, heads)
     words.row = np.searchsorted(words.bounds, words.start, side="right") - 1
     return words
 

@@ -91,3 +91,22 @@ def test_window_is_eight_words(spark):
     assert "quentin" in got and "one" in got
     texts = [t.replace("one", "one extra") for t in texts]
     assert "quentin" not in found(spark, filler + texts)
+
+
+def test_terms_in_curly_quotes(spark):
+    filler = [f"other matter {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}x" for i in range(100)]
+    texts = [f"{'abcd'[i]}one “Ottilie” has ot@x.org" for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate(filler + texts)), "doc_id long, text string")
+    terms = pii.disclosing_terms(docs)
+    assert "ottilie" in {r.term for r in terms.collect()}
+    at = texts[0].index("Ottilie")
+    assert f"term:{at}:{at + 7}" in pii.scan(docs, terms).where("doc_id = 100").first().spans
+
+
+def test_terms_without_spaces(spark):
+    filler = [f"other matter {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}x" for i in range(100)]
+    texts = [f"{'甲乙丙丁'[i]}的。王小明（wa@x.org）{'春夏秋冬'[i]}" for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate(filler + texts)), "doc_id long, text string")
+    terms = pii.disclosing_terms(docs)
+    assert {r.term for r in terms.collect()} == {"王小", "小明"}
+    assert "term:3:5,term:4:6" in pii.scan(docs, terms).where("doc_id = 100").first().spans

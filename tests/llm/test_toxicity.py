@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from corpusloom.llm import toxicity
 
@@ -70,3 +71,25 @@ def test_no_labels(spark):
     model = toxicity.fit(docs, marks)
     assert [r.predicted for r in toxicity.score(docs, model).collect()] in ([0], [1])
     assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def words_of(*texts):
+    words = toxicity.letter_words(pa.array(texts), 0, len(texts))
+    raw = words.data.tobytes()
+    return [[raw[a:b].decode() for a, b, r in zip(words.start, words.end, words.row, strict=True) if r == k] for k in range(len(texts))]
+
+
+def test_words_of_any_script():
+    assert words_of("“Vile”—word\u00a0next ☃️snow x’s", "Ünder Straße", "", "é") == [["vile", "word", "next", "snow", "x", "s"], ["ünder", "straße"], [], ["é"]]
+    assert words_of("e\u0301t\u0301a", "\u0301a हिन्दी") == [["e\u0301t\u0301a"], ["a", "हिन्दी"]]
+    assert words_of("日本語。犬 abc東京x", "の") == [["日本", "本語", "犬", "abc", "東京", "x"], ["の"]]
+    assert words_of("か\u3099きく") == [["か\u3099き", "きく"]]
+    assert words_of("a日", "本b") == [["a", "日"], ["本", "b"]]
+
+
+def test_quoted_word_scores_like_plain(spark):
+    rows, labels = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = [toxicity.scan(model, pa.array([t]), 0, 1)[1][0] for t in ("vilelora", "“vilelora”", "x\u00a0vilelora")]
+    assert got[0] and [s for _, _, s in got[0]] == [s for _, _, s in got[1]] == [s for _, _, s in got[2]]
