@@ -2,33 +2,39 @@
 
 A document is the set of digests of its paragraphs, long ones cut into pieces of PIECE words. Its fingerprint is a sketch of
 three tables of BASE cells, each holding the number, the combined digests and the combined checks of the digests that
-fall into it. Two sketches are subtracted cell by cell; peeling pure cells then recovers the digests in just one of the
-documents. Where that fails, sketches of a size that follows the sets are made, and larger ones once more. Sets beyond
-PART digests are split by hash into parts, each with sketches of its own, so that the work stays in proportion.
+fall into it. Two sketches are subtracted cell by cell (a sketch is linear, so the difference is the sum of one set's entries
+and the other's with their sign changed); peeling pure cells, one table after the other, then recovers the digests in just
+one of the documents. Cells that are left estimate how many digests differ beyond those found: the next sketches of such a
+pair are made for that number, and twice as large again until nothing is left. No set is ever compared but by sketches.
+
+Cells are rows, all those of a pair in one task, so that peeling is a chain of aggregations without exchanges between them.
 
 Likeness is 1 less the share of differing digests among both sets (1 for two empty sets). Nulls count as empty texts. Rows
 are ordered by doc_id, nulls first, and by text hash within one doc_id; equal rows are one document and get one result
-each. A single document is its own next one. Extra columns of the documents are left out. An empty table gives an empty
-result.
+each. A single document is its own next one. Texts may be of any length; a text's digests are held by one task at a time.
+Extra columns of the documents are left out, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.session import cut
+from corpusloom.session import cut, stored
 
 PIECE = 16
 #: Cells of each of the three tables of a fingerprint.
 BASE = 8
-#: Digests of both sets in a part.
-PART = 160
-#: Rounds of peeling at most; each recovers all pure cells.
-ROUNDS = 40
-#: Rows for each range in which the order of documents is found.
-RANGE_ROWS = 50_000
+TABLES = 3
+#: Turns of peeling in an attempt, each over all tables; each takes all pure cells of a table.
+TURNS = 5
+#: Cells a table for each digest that is expected to differ (three tables need 1.23 cells a digest together).
+ROOM = 0.7
+#: Rows for each range in which the order of documents is found, and ranges at most (their first rows are broadcast).
+RANGE_ROWS, RANGES = 50_000, 1 << 16
 _PIECES = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}" % PIECE
 
 
@@ -38,93 +44,87 @@ def digests(text: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(F.rtrim(p)))))
 
 
-def _entry(digest: Column, count: Column, table: int, size: Column) -> Column:
-    cell = F.pmod(F.xxhash64(digest, F.lit(table)), size) + F.lit(table) * size
-    return F.struct(cell.alias("cell"), count.alias("n"), digest.alias("key"), F.xxhash64(digest, F.lit(7)).alias("check"))
-
-
-def _entries(keys: Column, count: int, size: Column) -> Column:
-    """The three entries of every digest of an array."""
-    return F.flatten(F.transform(keys, lambda d: F.array(*[_entry(d, F.lit(count), t, size) for t in range(3)])))
-
-
-_CELL = "struct<cell:bigint,n:int,key:bigint,check:bigint>"
-
+def _cell(key: Column, table: Column | int, size: Column) -> Column:
+    table = F.lit(table) if isinstance(table, int) else table
+    return F.pmod(F.xxhash64(key, table), size) + table * size
 
-def _merged(entries: Column) -> Column:
-    """The non-empty cells of entries, each cell's entries added up."""
-    nothing = F.struct(F.lit(-1).cast("long").alias("cell"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
-    start = F.struct(F.array().cast(f"array<{_CELL}>").alias("done"), nothing.alias("now"))
 
-    def filled(x: Column) -> Column:
-        return (x["n"] != 0) | (x["key"] != 0) | (x["check"] != 0)
+def _check(key: Column) -> Column:
+    return F.xxhash64(key, F.lit(7))
 
-    def step(a: Column, e: Column) -> Column:
-        now = a["now"]
-        added = F.struct(now["cell"].alias("cell"), (now["n"] + e["n"]).alias("n"), now["key"].bitwiseXOR(e["key"]).alias("key"), now["check"].bitwiseXOR(e["check"]).alias("check"))
-        done = F.when(filled(now), F.concat(a["done"], F.array(now))).otherwise(a["done"])
-        return F.when(now["cell"] == e["cell"], F.struct(a["done"].alias("done"), added.alias("now"))).otherwise(F.struct(done.alias("done"), e.alias("now")))
 
-    return F.aggregate(F.sort_array(entries), start, step, lambda a: F.when(filled(a["now"]), F.concat(a["done"], F.array(a["now"]))).otherwise(a["done"]))
+def _entries(sets: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns with the cell, n, key and check of every entry of sets (names, size, n, keys)."""
+    keys = sets.select(*names, "size", "n", F.explode("keys").alias("key"))
+    spread = keys.select(*names, "size", "n", "key", F.explode(F.array(*[F.lit(t) for t in range(TABLES)])).alias("t"))
+    return spread.select(*names, "size", _cell(F.col("key"), F.col("t"), F.col("size")).alias("cell"), "n", "key", _check(F.col("key")).alias("check"))
 
 
-def sketch(keys: Column) -> Column:
-    """The filled cells of a fingerprint."""
-    return _merged(_entries(keys, 1, F.lit(BASE).cast("long")))
+def _added(entries: DataFrame, names: list[str]) -> DataFrame:
+    """The cells that are not empty, each the sum of its entries."""
+    sums = entries.groupBy(*names, "size", "cell").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return sums.where((F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
 
 
-def written(cells: Column, keys: Column) -> Column:
-    """A fingerprint as text: the number of digests, then cell, count, digests and checks of every filled cell."""
-    one = lambda c: F.concat_ws(".", c["cell"].cast("string"), c["n"].cast("string"), F.lower(F.hex(c["key"])), F.lower(F.hex(c["check"])))
-    return F.concat(F.size(keys).cast("string"), F.lit(":"), F.array_join(F.transform(cells, one), ","))
+def fingerprints(sets: DataFrame) -> DataFrame:
+    """id, fingerprint of every row of sets (id, keys): the number of digests, then cell, count, digests and checks of every
+    filled cell. Rows are dealt by id once."""
+    dealt = sets.repartition("id").withColumns({"size": F.lit(BASE).cast("long"), "n": F.lit(1).cast("long")})
+    cells = _added(_entries(dealt, ["id"]), ["id"])
+    one = F.concat_ws(".", F.col("cell").cast("string"), F.col("n").cast("string"), F.lower(F.hex("key")), F.lower(F.hex("check")))
+    rows = F.transform(F.sort_array(F.collect_list(F.struct("cell", one.alias("one")))), lambda c: c["one"])
+    # Every digest has one entry in the first table.
+    count = F.sum(F.when(F.col("cell") < BASE, F.col("n")).otherwise(0))
+    return cells.groupBy("id").agg(F.concat(count.cast("string"), F.lit(":"), F.array_join(rows, ",")).alias("fingerprint"))
 
 
-def _peeled(cells: Column, size: Column) -> Column:
-    """How many digests peeling recovers from a difference of sketches, or null if cells are left."""
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"), F.lit(True).alias("going"))
+def _peeled(cells: DataFrame, table: int) -> DataFrame:
+    """The cells of differences (pair, size, cell, n, key, check) after the pure ones of one table were taken out of all.
 
-    def step(a: Column, _: Column) -> Column:
-        pure = F.filter(a["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["check"] == F.xxhash64(c["key"], F.lit(7))))
-        keys = F.array_distinct(F.transform(pure, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
-        less = lambda ks: F.flatten(F.transform(ks, lambda k: F.array(*[_entry(k["key"], -k["n"], t, size) for t in range(3)])))
-        # An aggregate over one element names the recovered digests, so that they are found once.
-        moved = F.aggregate(
-            F.array(keys),
-            a,
-            lambda s, ks: F.when(F.size(ks) == 0, F.struct(s["cells"].alias("cells"), s["found"].alias("found"), F.lit(False).alias("going"))).otherwise(
-                F.struct(_merged(F.concat(s["cells"], less(ks))).alias("cells"), (s["found"] + F.size(ks)).alias("found"), F.lit(True).alias("going"))
-            ),
-        )
-        return F.when(a["going"] & (F.size(a["cells"]) > 0), moved).otherwise(a)
+    A digest has one cell in the table, so none is taken twice. What was found adds up in a cell of its own, -1: how many
+    digests, and their hashes with the side that has them."""
+    pure = (F.floor(F.col("cell") / F.col("size")) == table) & (F.abs("n") == 1) & (F.col("check") == _check(F.col("key")))
+    row = lambda cell, n, key, check: F.struct(cell.alias("cell"), n.alias("n"), key.alias("key"), check.alias("check"))
+    less = [row(_cell(F.col("key"), t, F.col("size")), -F.col("n"), F.col("key"), F.col("check")) for t in range(TABLES) if t != table]
+    found = row(F.lit(-1).cast("long"), F.lit(1).cast("long"), F.lit(0).cast("long"), F.xxhash64("key", "n"))
+    same = row(*[F.col(c) for c in ("cell", "n", "key", "check")])
+    moved = cells.select("pair", "size", F.explode(F.when(pure, F.array(*less, found)).otherwise(F.array(same))).alias("c"))
+    return _added(moved.select("pair", "size", "c.*"), ["pair"])
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda a: F.when(F.size(a["cells"]) == 0, a["found"]))
 
+def _attempt(pairs: DataFrame) -> DataFrame:
+    """pair, size, found, mark, remain of the pairs (pair, size, a, b) whose sketches differ, which must be dealt by pair.
 
-def _fresh(a: Column, b: Column, size: Column) -> Column:
-    """The differing digests of two sets, from sketches of `size` cells a table, or null."""
-    return _peeled(_merged(F.concat(_entries(a, 1, size), _entries(b, -1, size))), size)
-
-
-def _retried(a: Column, b: Column) -> Column:
-    """The differing digests by sketches that follow the sets' sizes, larger on failure; set difference as the last resort."""
-    size = F.greatest(F.lit(16), F.size(a) + F.size(b)).cast("long")
-    tried = F.aggregate(F.array(size, size * 5 + 3), F.lit(None).cast("int"), lambda found, m: F.coalesce(found, _fresh(a, b, m)))
-    return F.coalesce(tried, F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
-
+    remain is 0 if all cells came out empty; else it estimates the digests that were not found, by the squares of the cells'
+    counts: n digests of two signs in a table of m cells give n (1 - 1/m) + d d / m, where d is their signed sum."""
+    sides = F.array(*[F.struct(F.lit(sign).cast("long").alias("n"), F.col(side).alias("keys")) for side, sign in (("a", 1), ("b", -1))])
+    sets = pairs.select("pair", "size", F.explode(sides).alias("s")).select("pair", "size", "s.n", "s.keys")
+    cells = reduce(_peeled, list(range(TABLES)) * TURNS, _added(_entries(sets, ["pair"]), ["pair"]))
+    n, size, left = F.col("n"), F.col("size"), F.col("cell") >= 0
+    sums = cells.groupBy("pair", "size").agg(
+        F.max(F.when(~left, n)).alias("found"), F.max(F.when(~left, F.col("check"))).alias("mark"), F.count_if(left).alias("open"), F.sum(F.when(left, n * n)).alias("squares"), F.sum(F.when(left & (F.col("cell") < size), n)).alias("signed")
+    )
+    signed = F.coalesce("signed", F.lit(0))
+    apart = (F.col("squares") / TABLES - signed * signed / size) / (1 - 1 / size)
+    remain = F.when(F.col("open") == 0, F.lit(0)).otherwise(F.greatest(F.ceil(apart), F.abs(signed), F.lit(1)))
+    return sums.select("pair", "size", F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("mark", F.lit(0)).alias("mark"), remain.cast("long").alias("remain"))
 
-def differing(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
-    """How many digests stand in just one of two sets."""
-    minus = F.transform(cells_b, lambda c: F.struct(c["cell"].alias("cell"), (-c["n"]).alias("n"), c["key"].alias("key"), c["check"].alias("check")))
-    base = F.when(F.abs(F.size(a) - F.size(b)) <= 3 * BASE, _peeled(_merged(F.concat(cells_a, minus)), F.lit(BASE).cast("long")))
-    parts = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / F.lit(PART))).cast("long")
-    inside = lambda keys, k: F.when(parts == 1, keys).otherwise(F.filter(keys, lambda d: F.pmod(F.xxhash64(d, F.lit(11)), parts) == k))
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda k: F.struct(inside(a, k).alias("a"), inside(b, k).alias("b")))
-    return F.coalesce(base, F.aggregate(pairs, F.lit(0), lambda s, p: s + _retried(p["a"], p["b"])))
 
+def differences(pairs: DataFrame) -> DataFrame:
+    """pair, found, mark of the pairs of sets (pair, a, b) that differ: how many digests stand in just one of the sets, and
+    the recovered digests' hashes with their sides, combined. Pairs that are left out have equal sets.
 
-def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
-    total = F.size(a) + F.size(b)
-    return F.when(total == 0, F.lit(1.0)).otherwise(1 - differing(a, b, cells_a, cells_b) / total)
+    Nearly all pairs are decoded by the first sketches or by those made for the estimate; sizes at least double, so the loop
+    ends after a few rounds even for the longest texts."""
+    tried = cut(_attempt(pairs.withColumn("size", F.lit(BASE).cast("long")).repartition("pair")))
+    done = [tried.where("remain = 0")]
+    while True:
+        size = F.greatest(F.col("size") * 2, F.ceil((F.col("found") + F.col("remain")) * ROOM) + BASE)
+        still = tried.where("remain > 0").select(F.col("pair").alias("own"), size.cast("long").alias("size"))
+        if still.isEmpty():
+            return reduce(DataFrame.unionByName, done).select("pair", "found", "mark")
+        tried = cut(_attempt(pairs.join(still.hint("merge"), F.col("pair") == F.col("own")).drop("own")))
+        done.append(tried.where("remain = 0"))
 
 
 def successors(ids: DataFrame) -> DataFrame:
@@ -132,40 +132,54 @@ def successors(ids: DataFrame) -> DataFrame:
 
     Rows are ordered in ranges; only the ranges' first rows meet in one task."""
     spark = ids.sparkSession
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ids.count() // RANGE_ROWS)
+    ranges = min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), ids.count() // RANGE_ROWS))
     placed = cut(ids.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first(), "h").withColumn("range", F.spark_partition_id()))
     firsts = placed.groupBy("range").agg(F.min(F.struct("doc_id", "h")).alias("first"))
     every = Window.partitionBy(F.lit(0)).orderBy("range")
     after = firsts.withColumn("after", F.coalesce(F.lead("first").over(every), F.first("first").over(every))).select("range", "after")
     inside = F.lead(F.struct("doc_id", "h")).over(Window.partitionBy("range").orderBy(F.col("doc_id").asc_nulls_first(), "h"))
-    # One row a range: their number is set above.
+    # One row a range, RANGES at most.
     joined = placed.withColumn("inner", inside).join(F.broadcast(after), "range").withColumn("next", F.coalesce("inner", "after"))
     return cut(joined.select("doc_id", "h", "n", F.col("next.doc_id").alias("next_id"), F.col("next.h").alias("next_h")))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every document."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every document, then how
+    many digests differ from the edited and the next text, and marks of the recovered ones."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     order = successors(rows.select("doc_id", "h", F.length("text").alias("n")).distinct())
     # What each row gives to the one before it: its first characters and its digests.
     asked = order.select(F.col("next_id").alias("own_id"), F.col("next_h").alias("own_h"), F.col("doc_id").alias("to_id"), F.col("h").alias("to_h"), F.floor(F.col("n") / 2).cast("int").alias("asked"))
     base = rows.withColumn("keys", digests(F.col("text"))).join(asked, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("h") == F.col("own_h"))).drop("own_id", "own_h")
-    # Equal rows give the same thing once.
-    repeated = order.count() < rows.count()
     given = base.select("to_id", "to_h", F.expr("substring(text, 1, asked)").alias("head"), F.col("keys").alias("next_keys"))
-    if repeated:
+    # Equal rows give the same thing once.
+    if order.count() < rows.count():
         given = given.dropDuplicates(["to_id", "to_h"])
     own = base.select("doc_id", "h", "text", "keys")
     met = own.join(given, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("h") == F.col("to_h")))
-    n = F.length("text")
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.col("head"))
-    texts = met.select("doc_id", n.cast("long").alias("n_chars"), "keys", "next_keys", edited.alias("edited"))
-    keyed = texts.select("doc_id", "n_chars", "keys", "next_keys", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("edited")).alias("edited_keys"))
-    cells = keyed.withColumns({"cells": sketch(F.col("keys")), "next_cells": sketch(F.col("next_keys")), "edited_cells": sketch(F.col("edited_keys"))})
-    # One expression serves both comparisons.
-    others = F.array(*[F.struct(F.col(f"{o}_keys").alias("keys"), F.col(f"{o}_cells").alias("cells")) for o in ("edited", "next")])
-    near = F.transform(others, lambda o: likeness(F.col("keys"), o["keys"], F.col("cells"), o["cells"]))
-    compared = cells.select("doc_id", "n_chars", "edited_sha256", "keys", "cells", "edited_keys", "edited_cells", near.alias("near"))
-    return compared.select(
-        "doc_id", "n_chars", "edited_sha256", written(F.col("cells"), F.col("keys")).alias("fingerprint"), written(F.col("edited_cells"), F.col("edited_keys")).alias("edited_fingerprint"), F.col("near")[0].alias("near_edited"), F.col("near")[1].alias("near_next")
+    texts = met.select("doc_id", F.length("text").cast("long").alias("n_chars"), "keys", "next_keys", edited.alias("edited"))
+    keyed = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
+    keyed = stored(keyed)
+
+    # Of each row, sides 0 and 1 are its own and the edited digests; pairs 0 and 1 compare its own with the edited and the next.
+    halves = lambda first, second: F.explode(F.array(first, second))
+    number = lambda k: (F.col("row") * 2 + k)
+    sides = keyed.select(halves(F.struct(number(0).alias("id"), F.col("keys").alias("keys")), F.struct(number(1).alias("id"), F.col("edited_keys").alias("keys"))).alias("s")).select("s.*")
+    pairs = keyed.select(
+        halves(*[F.struct(number(k).alias("pair"), F.col("keys").alias("a"), F.col(other).alias("b")) for k, other in enumerate(("edited_keys", "next_keys"))]).alias("p")
+    ).select("p.*")
+    by_row = lambda df, key, value: df.groupBy(F.shiftright(key, 1).alias("of")).agg(*[F.max(F.when(F.col(key) % 2 == k, F.col(v))).alias(f"{v}_{k}") for v in value for k in range(2)])
+    marks = by_row(fingerprints(sides), "id", ["fingerprint"]).withColumnRenamed("of", "of_mark")
+    apart = by_row(differences(pairs), "pair", ["found", "mark"])
+    sizes = {f"total_{k}": F.size("keys") + F.size(other) for k, other in enumerate(("edited_keys", "next_keys"))}
+    rows = keyed.select("row", "doc_id", "n_chars", "edited_sha256", *[c.alias(n) for n, c in sizes.items()])
+    rows = rows.join(marks, F.col("row") == F.col("of_mark"), "left").join(apart, F.col("row") == F.col("of"), "left")
+    found = [F.coalesce(f"found_{k}", F.lit(0)) for k in range(2)]
+    near = [F.when(F.col(f"total_{k}") == 0, F.lit(1.0)).otherwise(1 - found[k] / F.col(f"total_{k}")) for k in range(2)]
+    mark = [F.lower(F.hex(F.coalesce(f"mark_{k}", F.lit(0)))) for k in range(2)]
+    text = [F.coalesce(f"fingerprint_{k}", F.lit("0:")) for k in range(2)]
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", text[0].alias("fingerprint"), text[1].alias("edited_fingerprint"), near[0].alias("near_edited"), near[1].alias("near_next"),
+        found[0].cast("long").alias("differ_edited"), found[1].cast("long").alias("differ_next"), mark[0].alias("mark_edited"), mark[1].alias("mark_next"),
     )
