@@ -67,3 +67,27 @@ def test_one_and_none(spark):
     r = fingerprint.report(one).first()
     assert r.edited_sha256 == hashlib.sha256(b"abcd abcd").hexdigest() and r.near_next == 1.0
     assert fingerprint.report(one.limit(0)).count() == 0
+
+
+def test_differences_like_brute_force(spark):
+    """Counts of the differing digests, and the marks of the recovered ones, for differences of all sizes."""
+    rng = random.Random(8)
+    number = lambda: rng.randrange(-(2**63), 2**63)
+    sets = []
+    for pair in range(120):
+        both = [number() for _ in range(rng.choice([0, 3, 40, 700]))]
+        sets.append((pair, both + [number() for _ in range(rng.choice([0, 1, 5, 30, 400]))], both + [number() for _ in range(rng.choice([0, 2, 30, 300]))]))
+    df = spark.createDataFrame(sets, "pair long, a array<long>, b array<long>")
+    got = {r.pair: (r.found, r.mark) for r in fingerprint.differences(df).collect()}
+    only = df.selectExpr("pair", "explode(concat(transform(array_except(a, b), x -> struct(x, 1L AS n)), transform(array_except(b, a), x -> struct(x, -1L AS n)))) AS d")
+    marks = only.selectExpr("pair", "xxhash64(d.x, d.n) AS m").groupBy("pair").agg({"*": "count", "m": "bit_xor"})
+    want = {r["pair"]: (r["count(1)"], r["bit_xor(m)"]) for r in marks.collect()}
+    assert got == want
+
+
+def test_very_long_text(spark):
+    text = "\n".join(f"paragraph {i} with its own words" for i in range(30_000))
+    docs = spark.createDataFrame([(1, text), (2, text[: len(text) // 2] + " end")], "doc_id long, text string")
+    got = {r.doc_id: r for r in fingerprint.report(docs).collect()}
+    want = brute([(1, text), (2, text[: len(text) // 2] + " end")])
+    assert all(abs(got[d].near_next - want[d][3]) < 1e-9 and abs(got[d].near_edited - want[d][2]) < 1e-9 for d in (1, 2))
