@@ -3,14 +3,17 @@
 Words are runs of Unicode letters with their marks, lower-cased; of Han and kana, whose words have no spaces, each pair of
 neighbours is a word (a letter alone between others is one too). A word's features are the word and its prefixes of PREFIXES code points, so that
 inflected and compound forms share evidence. Each feature's log-odds between toxic and clean training texts has a
-Dirichlet prior in proportion to its overall frequency; only features that are significant by their z-score are kept.
-A word scores the largest log-odds of its kept features, any other word a small negative value. A linear-time scan finds
-every maximal segment; segments are judged by the extreme-value law E = K m exp(-lambda S), their significance is summed,
-and a logistic curve fitted on the training texts turns the sum into a probability.
+Dirichlet prior in proportion to its overall frequency, and is drawn towards 0 by DRAWN standard errors; what is left, with
+its sign, is its score. A word has the score of its feature that is furthest from 0, less DRIFT. A linear-time scan over
+all words finds every maximal segment; segments are judged by the extreme-value law E = K m exp(-lambda S), their
+significance is summed, and a logistic curve fitted on the training texts turns the sum into a probability.
 
 Training reads labelled rows outside the held-out quarter only, TRAIN_ROWS of them at most (by hash of doc_id, a
-documented bound of the model alone), and near-copies among them count once. Every text is scored whole. Null and empty
-texts have no segments and get the curve's lowest score. Rows with a null label don't train. Repeated rows score alike.
+documented bound of the model alone); rows of one label that agree in KEYS minima of their shingles' hashes, as near-copies
+do, count once. All features of these rows take part. Every text is scored whole, however long. Null and empty texts have
+no segments and get the curve's lowest score. Rows with a null label don't train; without labels of both kinds every text
+gets the share of toxic ones (FEW without any label). Repeated rows score alike. Ids may be of any type; extra columns are left out, whatever their
+names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,13 +38,17 @@ TRAIN_ROWS = 16_000
 PREFIXES = (4, 5, 6, 7, 8)
 #: Sum of the Dirichlet prior's pseudo-counts.
 PRIOR = 200.0
-MIN_TOXIC = 4
-MIN_Z = 4.0
-#: Features that a model may hold, those of largest z first.
-MODEL_FEATURES = 20_000
-#: Score of a word without a kept feature.
-NEUTRAL = -0.02
+#: Standard errors by which log-odds are drawn towards 0.
+DRAWN = 3.0
+#: What every word loses, so that clean text falls on the whole.
+DRIFT = 0.02
+#: Minima of shingle hashes by which near-copies among the training rows are told.
+KEYS = 3
+#: Histogram of the words' scores in clean training texts, for lambda: bins of 1 / BIN from -SPAN to SPAN.
+BIN, SPAN = 16, 16
 THRESHOLD = 0.3
+#: Share of toxic texts that is assumed where labels tell nothing.
+FEW = 0.05
 HELD_OUT_OF, HELD_OUT = 4, 2
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -177,16 +184,12 @@ def features(words: textbatch.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield has, textbatch.mix(textbatch.mix((sums[place[first[has] + k]] - from_start[has]) * unit[has]) + np.uint64(k))
 
 
-def segments(place: np.ndarray, score: np.ndarray, gap: float = -NEUTRAL) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last place, score) of positive scores at places, other places scoring -gap."""
+def segments(place: np.ndarray, before: np.ndarray, after: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (first, last place, score), from the places of positive scores and the running sums of
+    all scores before and after each."""
     found: list[list[float]] = []  # total before, total after, first place, last place
-    total, last = 0.0, None
-    for p, s in zip(place.tolist(), score.tolist(), strict=True):
-        if last is not None:
-            total -= gap * (p - last - 1)
-        last = p
-        left, total = total, total + s
-        now = [left, total, p, p]
+    for p, low, high in zip(place.tolist(), before.tolist(), after.tolist(), strict=True):
+        now = [low, high, p, p]
         while True:
             j = len(found) - 1
             while j >= 0 and found[j][0] >= now[0]:
@@ -199,23 +202,31 @@ def segments(place: np.ndarray, score: np.ndarray, gap: float = -NEUTRAL) -> lis
     return [(int(f[2]), int(f[3]), f[1] - f[0]) for f in found]
 
 
-def scan(model: Model, column: pa.Array, start: int, stop: int) -> tuple[np.ndarray, list[list[tuple[int, int, float]]], np.ndarray]:
-    """For each row its words, its maximal segments, and the byte bounds of its words (for spans)."""
-    words = letter_words(column, start, stop)
-    best = np.zeros(len(words))
+def word_scores(model: Model, words: textbatch.Words) -> np.ndarray:
+    """Each word's score: that of its feature furthest from 0, less DRIFT."""
+    high, low = np.zeros(len(words)), np.zeros(len(words))
     for which, h in features(words):
         at, odds = model.lookup(h)
-        np.maximum.at(best, which[at], odds)
+        np.maximum.at(high, which[at], odds)
+        np.minimum.at(low, which[at], odds)
+    return np.where(high >= -low, high, low) - DRIFT
+
+
+def scan(model: Model, column: pa.Array, start: int, stop: int) -> tuple[np.ndarray, list[list[tuple[int, int, float]]], np.ndarray, np.ndarray]:
+    """For each row the number of its words and its maximal segments; then all words' scores and rows."""
+    words = letter_words(column, start, stop)
+    score = word_scores(model, words)
     count = words.counts()
     first = np.concatenate([[0], np.cumsum(count)[:-1]])
     out: list[list[tuple[int, int, float]]] = [[] for _ in range(stop - start)]
-    hit = np.flatnonzero(best > 0)
+    hit = np.flatnonzero(score > 0)
     if len(hit):
+        after = np.cumsum(score)
         border = np.flatnonzero(np.diff(words.row[hit])) + 1
         for part in np.split(hit, border):
             r = int(words.row[part[0]])
-            out[r] = segments(part - first[r], best[part])
-    return count, out, first
+            out[r] = segments(part - first[r], after[part] - score[part], after[part])
+    return count, out, score, words.row
 
 
 def significance(model: Model, count: int, found: list[tuple[int, int, float]]) -> tuple[float, float]:
@@ -246,17 +257,22 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     keep = min(1.0, TRAIN_ROWS / max(n, 1))
     chosen = usable.where(F.pmod(F.xxhash64("label_id", F.lit(7)), F.lit(1 << 20)) < int(keep * (1 << 20)))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen) if n * keep <= 2 * TRAIN_ROWS else chosen, F.col("doc_id") == F.col("label_id")).drop("label_id")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
-    def least(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = textbatch.as_strings(pa.array(batch["text"], pa.string()))
-            key = np.full(len(batch), np.uint64(2**64 - 1))
+            column = textbatch.as_strings(batch.column("text"))
+            key = np.full((KEYS, len(column)), np.uint64(2**64 - 1))
             for start, stop in textbatch.slices(column):
                 h, row = textbatch.shingles(textbatch.Words(column, start, stop, lower=True), 5)
-                np.minimum.at(key, row + start, h)
-            yield batch.assign(least=key.astype(np.int64))
-
-    keyed = cut(rows.mapInPandas(least, "doc_id long, text string, toxic int, least long"))
+                for k in range(KEYS):
+                    np.minimum.at(key[k], row + start, textbatch.mix(h + np.uint64(k)))
+            one = key[0]
+            for k in range(1, KEYS):
+                one = textbatch.mix(one) ^ key[k]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column, batch.column("toxic"), pa.array(one.view(np.int64))], names=["doc_id", "text", "toxic", "least"])
+
+    keyed = cut(rows.mapInArrow(least, f"doc_id {id_type}, text string, toxic int, least long"))
     one = keyed.groupBy("least", "toxic").agg(F.min("doc_id").alias("one")).select("one")
     return keyed.join(one, F.col("doc_id") == F.col("one"), "left_semi").select("doc_id", "text", "toxic")
 
@@ -289,15 +305,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts = rows.agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).first()
     bad, n = float(texts["bad"] or 0), float(texts["n"])
     if bad == 0 or bad == n:
-        return Model(curve=(float(np.log((bad + 0.5) / (n - bad + 0.5))), 0.0, 0.0))
+        return Model(curve=(float(np.log((bad + FEW) / (n - bad + 1 - FEW))), 0.0, 0.0))
     share = (F.col("n1") + F.col("n0")) / F.lit(n)
     a1, a0 = PRIOR * share * bad / n, PRIOR * share * (1 - bad / n)
     odds = F.log((F.col("n1") + a1) / (bad + PRIOR * bad / n)) - F.log((F.col("n0") + a0) / (n - bad + PRIOR * (1 - bad / n)))
-    z = odds / F.sqrt(1 / (F.col("n1") + a1) + 1 / (F.col("n0") + a0))
-    chosen = counted.where(F.col("n1") >= MIN_TOXIC).select("key", odds.alias("odds"), z.alias("z")).where(f"z >= {MIN_Z} and odds > 1").orderBy(F.desc("z"), "key").limit(MODEL_FEATURES).toPandas()
-    key = chosen["key"].to_numpy().astype(np.int64).view(np.uint64)
+    error = F.sqrt(1 / (F.col("n1") + a1) + 1 / (F.col("n0") + a0))
+    drawn = F.signum(odds) * F.greatest(F.abs(odds) - DRAWN * error, F.lit(0.0))
+    # A feature with nothing left scores like an unknown one.
+    chosen = counted.select("key", drawn.alias("odds")).where("odds <> 0").toArrow()
+    key = chosen["key"].to_numpy().view(np.uint64)
     order = np.argsort(key)
-    model = Model(keys=key[order], odds=chosen["odds"].to_numpy(dtype=float)[order])
+    model = Model(keys=key[order], odds=chosen["odds"].to_numpy()[order])
     return calibrate(model, rows)
 
 
@@ -308,18 +326,24 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
         for batch in batches:
             column = textbatch.as_strings(pa.array(batch["text"], pa.string()))
             for start, stop in textbatch.slices(column):
-                count, segs, _ = scan(model, column, start, stop)
-                yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[start:stop], "toxic": batch["toxic"].to_numpy()[start:stop], "m": count, "scores": [[s for _, _, s in x] for x in segs]})
-
-    got = rows.mapInPandas(found, "doc_id long, toxic int, m long, scores array<double>").orderBy("doc_id", "m").toPandas()
+                toxic = batch["toxic"].to_numpy()[start:stop]
+                count, segs, score, row = scan(model, column, start, stop)
+                yield pd.DataFrame({"toxic": toxic, "m": count, "scores": [[s for _, _, s in x] for x in segs], "bins": None})
+                place = np.clip(((score[toxic[row] == 0] + SPAN) * BIN).astype(np.int64), 0, 2 * SPAN * BIN - 1)
+                yield pd.DataFrame({"toxic": [-1], "m": [0], "scores": [[]], "bins": [np.bincount(place, minlength=2 * SPAN * BIN)]})
+
+    every = rows.select("text", "toxic").mapInPandas(found, "toxic int, m long, scores array<double>, bins array<long>").toPandas()
+    got = every[every["toxic"] >= 0]
+    bins = np.sum([np.asarray(b) for b in every[every["toxic"] < 0]["bins"]], axis=0) if (every["toxic"] < 0).any() else np.zeros(2 * SPAN * BIN)
     clean = got[got["toxic"] == 0]
     words = float(clean["m"].sum())
-    scores = np.array([s for x in clean["scores"] for s in x])
+    scores = np.sort(np.array([s for x in clean["scores"] for s in x]))
     decay, scale = 1.0, 1.0 / max(words, 1.0)
     if len(scores) and words:
         # lambda: the positive root of sum p(s) exp(lambda s) = 1 over the clean words' scores.
         low, high = 1e-3, 20.0
-        excess = lambda x: (np.exp(np.minimum(x * scores, 700)).sum() + (words - len(scores)) * np.exp(x * NEUTRAL)) / words - 1
+        middle_of = np.arange(2 * SPAN * BIN) / BIN - SPAN + 0.5 / BIN
+        excess = lambda x: (bins * np.exp(np.minimum(x * middle_of, 700))).sum() / words - 1
         for _ in range(80):
             middle = (low + high) / 2
             low, high = (low, middle) if excess(middle) > 0 else (middle, high)
@@ -331,6 +355,9 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
     model = Model(model.keys, model.odds, decay, scale)
     x = np.array([inputs(*significance(model, int(m), [(0, 0, s) for s in ss]), int(m)) for m, ss in zip(got["m"], got["scores"], strict=True)])
     y = got["toxic"].to_numpy(dtype=float)
+    # Sums in one order whatever the rows' order.
+    order = np.lexsort((*x.T, y))
+    x, y = x[order], y[order]
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -350,7 +377,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             column = textbatch.as_strings(batch.column("text"))
             for start, stop in textbatch.slices(column):
-                count, segs, _ = scan(model, column, start, stop)
+                count, segs, _, _ = scan(model, column, start, stop)
                 sig = [significance(model, int(m), s) for m, s in zip(count, segs, strict=True)]
                 p = [probability(model, inputs(*v, int(m))) for v, m in zip(sig, count, strict=True)]
                 old = batch.slice(start, stop - start)

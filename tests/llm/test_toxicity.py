@@ -30,9 +30,10 @@ def brute_segments(values):
 def test_segments_like_brute_force():
     rng = random.Random(1)
     for _ in range(200):
-        values = [rng.choice([3.1234, 1.3177, 0.7071, -0.4, -0.4, -0.4]) for _ in range(rng.randint(0, 14))]
+        values = [rng.choice([3.1234, 1.3177, 0.7071, -0.4, -0.93, -2.21]) for _ in range(rng.randint(0, 14))]
         at = [i for i, v in enumerate(values) if v > 0]
-        got = toxicity.segments(np.array(at, dtype=int), np.array([values[i] for i in at]), gap=0.4)
+        total = np.concatenate([[0.0], np.cumsum(values)])
+        got = toxicity.segments(np.array(at, dtype=int), total[at] if at else np.zeros(0), total[1:][at] if at else np.zeros(0))
         assert sorted((a, b, round(s, 6)) for a, b, s in got) == sorted(brute_segments(values))
 
 
@@ -69,7 +70,7 @@ def test_no_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     marks = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(docs, marks)
-    assert [r.predicted for r in toxicity.score(docs, model).collect()] in ([0], [1])
+    assert [r.predicted for r in toxicity.score(docs, model).collect()] == [0]
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
@@ -93,3 +94,27 @@ def test_quoted_word_scores_like_plain(spark):
     model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
     got = [toxicity.scan(model, pa.array([t]), 0, 1)[1][0] for t in ("vilelora", "“vilelora”", "x\u00a0vilelora")]
     assert got[0] and [s for _, _, s in got[0]] == [s for _, _, s in got[1]] == [s for _, _, s in got[2]]
+
+
+def test_clean_words_count_against(spark):
+    """Words that lean to clean texts have negative scores, and part two toxic passages."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["calm", "kind"] if i % 3 else ["vile", "foul"]) if rng.random() < 0.5 else rng.choice("abcdef") * 3 for _ in range(30))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    words = toxicity.letter_words(pa.array(["vile calm kind aaa zzzz"]), 0, 1)
+    score = toxicity.word_scores(model, words)
+    assert score[0] > 1 and score[1] < -1 and score[2] < -1 and score[4] == -toxicity.DRIFT
+    parts = toxicity.scan(model, pa.array(["vile foul " + "calm kind " * 20 + "foul vile"]), 0, 1)[1][0]
+    assert [(a, b) for a, b, _ in parts] == [(0, 1), (42, 43)]
+
+
+def test_text_ids_and_long_texts(spark):
+    rows, labels = corpus()
+    rows = [(f"id{i}", t, 1, 2, 3) for i, t, _, _ in rows] + [("long", "calm words " * 100_000 + "vilelora vilemi vileratek vilesu", 1, 2, 3), ("id9", rows[9][1], 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, toxic int, held_out int, least int")
+    model = toxicity.fit(docs, spark.createDataFrame([(f"id{i}", y) for i, y in labels], "doc_id string, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert got["long"].n_segments >= 1 and got["id0"].score > got["id1"].score
+    again = toxicity.fit(docs.repartition(7), spark.createDataFrame([(f"id{i}", y) for i, y in labels], "doc_id string, toxic int").repartition(5))
+    assert (again.keys == model.keys).all() and np.allclose(again.odds, model.odds, rtol=1e-12) and np.allclose(again.curve, model.curve, rtol=1e-6)
