@@ -4,8 +4,10 @@ Every pre-token starts as one symbol a byte. A segment tree over the pairs of ne
 (rank of the pair, position), so the root is the leftmost pair of lowest rank; a merge changes three leaves and their
 paths. The trees of many pre-tokens of like size are updated together as arrays, one merge in each at a time.
 
-Nulls count as empty texts, which have no tokens. Repeated rows are encoded each on its own. Extra columns pass through
-`encode_documents` untouched unless they bear the names of its results.
+Nulls count as empty texts, which have no tokens. Repeated rows are encoded each on its own. An empty table gives an empty
+result. Texts may be of any length: a tree has two nodes a byte of its pre-token, and a merge costs its depth. Ids may be of
+any type. Extra columns pass through `encode_documents` untouched unless they bear the names of its results, and are left
+out by `digests`.
 """
 
 from __future__ import annotations
@@ -216,4 +218,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

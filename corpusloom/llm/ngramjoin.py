@@ -9,7 +9,9 @@ its pivot's component afterwards meets all members of other components that shar
 need no comparison: only classes are returned, and no link between different texts is lost.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing. Repeated rows are in one class.
-A null doc_id is never the least of its class. Extra columns pass through `one_of_each`. Nothing is capped or sampled.
+A null doc_id is never the least of its class. Ties (exactly 80 %) link. An empty table gives an empty result. Texts may be of
+any length; a text's set is held by one task at a time. Extra columns of any name pass through `one_of_each` and are left out
+by `classes`. Nothing is capped or sampled.
 """
 
 from __future__ import annotations
@@ -359,8 +361,9 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return joined.select("a", "b", "members_a", "members_b").mapInArrow(run, "a long, b long")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows doc_id, sig, n of every document, and the classes: sig (of a text's set), component (of sets) and
+    component_id (least doc_id) of every set."""
     buckets = max(BUCKETS, docs.count() // 1000)
     every = tiles(docs, buckets, frequent(docs, buckets))
     entities, met = every.where(F.col("tile").isNull()), every.where(F.col("tile").isNotNull())
@@ -388,12 +391,30 @@ def classes(docs: DataFrame) -> DataFrame:
     ids = entities.groupBy("sig").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
     classed = cut(ids.join(linked.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig")))
     least = classed.groupBy("component").agg(F.min("least").alias("component_id"))
-    answer = classed.join(least, "component").select("sig", "component_id")
+    return entities.select("doc_id", "sig", "n"), classed.join(least, "component").select("sig", "component", "component_id")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    entities, found = _classed(docs)
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return entities.join(answer, "sig", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    return entities.join(found.drop("component"), "sig", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs without those of later documents of a class; the one of least doc_id stays."""
-    later = classes(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(cut(later), "doc_id", "left_anti").select(*docs.columns)
+    """One row of docs for every class of texts: that of the least doc_id (nulls last), and among its rows that of the least
+    hash. Texts without words are in no class and stay, each row of them. Rows are told apart by the hashes of all their
+    columns, not by doc_id: other texts under one id are judged on their own. Columns may have any names."""
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", "text")
+    hashed = hashed.withColumn("at", F.xxhash64("doc"))
+    # The operator's key is a row's hash here, so that what comes back names the row.
+    entities, found = _classed(hashed.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("at")).alias("doc_id"), "text"))
+    first = found.select("component_id").distinct().select(F.col("component_id.at").alias("first_at"))
+    blank = entities.where("n = 0").select(F.col("doc_id.at").alias("first_at"))
+    stay = cut(first.join(blank, "first_at", "left_anti").unionByName(blank.distinct()))
+    kept = hashed.join(stay, F.col("at") == F.col("first_at"), "left_semi")
+    # Equal rows of a class are one; equal rows without words are kept.
+    if not hashed.groupBy("at").count().where("count > 1").isEmpty():
+        marked = kept.withColumn("blank", ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+        kept = marked.where(~F.col("blank")).dropDuplicates(["at"]).unionByName(marked.where("blank"))
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -6,7 +6,9 @@ own bands from the median and quartiles of these measures; a text outside a band
 that fails the base rules. Bands are centred on their own language at every size; the fewer its texts, the wider they are.
 
 Nulls and empty texts have no words and fail the base rules. A null language is a group of its own. Repeated rows are
-judged alike. Extra columns of the documents are passed on by `accepted`.
+judged alike, but by their own language each. Ties with a limit are kept. An empty table gives an empty result. Texts may be
+of any length; each is measured whole. Extra columns of the documents, whatever their names, are passed on by `accepted`
+and left out by `report`.
 """
 
 from __future__ import annotations
@@ -223,8 +225,12 @@ def verdicts(docs: DataFrame, path: str) -> DataFrame:
 
 def accepted(docs: DataFrame, path: str) -> DataFrame:
     """The rows of docs that the rules keep, with their columns."""
-    bad = verdicts(docs, path).where(~F.col("kept")).select(F.col("doc_id").alias("_bad_id"), F.col("at").alias("_bad_at")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs["text"]) == F.col("_bad_at")), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "doc_id", F.xxhash64("text").alias("at"))
+    bad = verdicts(docs, path).where(~F.col("kept")).select(F.col("doc_id").alias("bad_id"), F.col("at").alias("bad_at"), F.col("lang").alias("bad_lang")).distinct()
+    # One text under one id may stand in two languages, each with its own verdict.
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("at") == F.col("bad_at")) & F.col("doc.lang").cast("string").eqNullSafe(F.col("bad_lang"))
+    kept = rows.join(bad, same, "left_anti")
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, path: str) -> DataFrame:

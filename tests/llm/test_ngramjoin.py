@@ -88,3 +88,17 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 150), (150, 180)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 150: 150, 180: 150, 200: 150}
+
+
+def test_one_of_each_tells_rows_apart(spark):
+    a, b, c = "one two three four five six", "quite other words stand here now", "yet another text with its own words"
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c), (4, ""), (4, ""), (None, a), (None, "only under no id at all here"), (5, None)]
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, `first.at` int, doc int")
+    kept = sorted(((r.doc_id or 0, r.text) for r in ngramjoin.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (3, c), (4, ""), (4, ""), (0, "only under no id at all here"), (5, None)], key=str)
+
+
+def test_very_long_texts(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:-5000])), (3, " ".join(words[::-1]))], "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.classes(docs).collect()} == {1: (59_996, 1), 2: (54_996, 1), 3: (59_996, 3)}
