@@ -19,9 +19,8 @@ def body_text(body: H.Node | None) -> str:
     """The text nodes of an element without junk, one a line."""
     if body is None:
         return ""
-    for selector in JUNK_SELECTORS:
-        for node in H.select(body, selector):
-            node.remove()
+    for node in H.select_any(body, JUNK_SELECTORS):
+        node.remove()
     return re.sub(r"\n{3,}", "\n\n", body.text("\n")).strip()
 
 
@@ -57,7 +56,8 @@ def _article_udf(html: pd.Series, url: pd.Series, selectors: pd.DataFrame, title
     for page, link, chosen, t, d in zip(html, url, selectors.to_dict("records"), title, date):
         try:
             rows.append(read_article(page, link or "", chosen, t or "", d or ""))
-        except Exception:
+        except ValueError:
+            # A selector that can't be read: the page counts as unparsable.
             rows.append((None, None, None))
     return pd.DataFrame(rows, columns=["title", "date_raw", "body"])
 

@@ -73,18 +73,27 @@ class Node:
 
     def walk(self) -> Iterator[Node]:
         """The elements below, in document order."""
-        for c in self.children:
+        for c in self.content():
             if isinstance(c, Node):
                 yield c
-                yield from c.walk()
 
     def strings(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.strings()
-            else:
+        for c in self.content():
+            if not isinstance(c, Node):
                 yield c
 
+    def content(self) -> Iterator[Node | str]:
+        """All that is below, in document order, however deep. Children taken out of a node that was reached are left out."""
+        open_ = [iter(tuple(self.children))]
+        while open_:
+            c = next(open_[-1], None)
+            if c is None:
+                open_.pop()
+                continue
+            yield c
+            if isinstance(c, Node):
+                open_.append(iter(tuple(c.children)))
+
     def text(self, separator: str = "") -> str:
         """The stripped, non-empty text nodes, joined."""
         return separator.join(s for s in (x.strip() for x in self.strings()) if s)
@@ -173,21 +182,24 @@ def _fits(node: Node, tests: list[tuple]) -> bool:
 
 def select(root: Node, selector: str) -> list[Node]:
     """The elements below root that one comma-free selector matches, in document order."""
-    chain = compile_selector(selector)
-    if not chain:
-        return []
-    found = []
-    for node in root.walk():
-        if not _fits(node, chain[-1]):
-            continue
-        need, up = len(chain) - 2, node.parent
-        while need >= 0 and up is not None:
-            if _fits(up, chain[need]):
-                need -= 1
-            up = up.parent
-        if need < 0:
-            found.append(node)
-    return found
+    return select_any(root, (selector,))
+
+
+def _matches(node: Node, chain: list[list[tuple]]) -> bool:
+    if not chain or not _fits(node, chain[-1]):
+        return False
+    need, up = len(chain) - 2, node.parent
+    while need >= 0 and up is not None:
+        if _fits(up, chain[need]):
+            need -= 1
+        up = up.parent
+    return need < 0
+
+
+def select_any(root: Node, selectors: tuple[str, ...]) -> list[Node]:
+    """The elements below root that any of the selectors matches, in document order, by one walk."""
+    chains = [compile_selector(s) for s in selectors]
+    return [node for node in root.walk() if any(_matches(node, c) for c in chains)]
 
 
 def parts(selectors: str) -> list[str]:

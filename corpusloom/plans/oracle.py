@@ -56,8 +56,9 @@ _LINE = "printf('| %-14s | %5d | %15d | %6d |', {}, {}, {}, {})"
 SITES = """sites as (select n_name as name, n_regionkey::varchar as country_code, 'https://www.' || lower(replace(n_name, ' ', '-')) || '.example.org' as base_url,
  n_nationkey as site_ord, case n_nationkey % 3 when 0 then '?page={n}' when 1 then '' end as pagination, case when n_nationkey % 2 = 0 then 10 else 1 end as step, n_nationkey % 4 + 1 as max_pages from nation)"""
 HREFS = """hrefs as (select page_id, unnest(regexp_extract_all(html, '(?is)<a\\s[^>]*?href="([^"]*)"', 1)) as href, unnest(range(len(regexp_extract_all(html, '(?is)<a\\s[^>]*?href="([^"]*)"', 1)))) as pos from pages)"""
-_INDEX = f"""{PAGES}, ix as (select country_code, norm_url, url, 'Title ' || page_id as title, case when page_id % 4 = 0 then '' else strftime(date '2024-01-01' + (page_id % 40)::int, '%Y-%m-%d') end as date, source, page_id
- from pg where page_id % 3 = 0)"""
+_ALL = f"""{PAGES}, ix as (select country_code, norm_url, url, 'Title ' || page_id as title, case when page_id % 4 = 0 then '' else strftime(date '2024-01-01' + (page_id % 40)::int, '%Y-%m-%d') end as date, source, page_id
+ from pg)"""
+_INDEX = _ALL[:-1] + " where page_id % 3 = 0)"
 _SAVED = "sv as (select * from (select *, row_number() over (partition by country_code, norm_url order by page_id) as k from pg) where k = 1)"
 _DATE_FORMATS = ["%B %-d, %Y", "%b %-d, %Y", "%-d %B %Y", "%d %b %Y", "%d/%m/%Y", "%Y/%m/%d", "%d-%m-%Y", "%-d. %B %Y", "%Y年%m月%d日", "Mon, %d %b %Y %H:%M:%S GMT", "%Y-%m-%dT%H:%M:%S"]
 _ATTEMPTS = f"""{SITES}, tries as (select name as source, site_ord, priority, case when priority = 0 then base_url || '/feed.xml' else base_url || [{', '.join(f"'{p}'" for p in FEED_PATHS)}][priority] end as feed_url
@@ -70,7 +71,7 @@ SQL: dict[str, str] = {
     "content_hash": "select doc_id, md5(text) as content_hash from documents",
     "word_count": f"select doc_id, {_words('text')}::bigint as word_count from documents",
     "clean_text": "select doc_id, " + _clean("'<p>&amp;lt; ' || text || ' &hellip; &#39;x&#x27; ' || chr(9) || ' &foo; </p>' || chr(10) || chr(10) || chr(10) || chr(10)") + " as cleaned from documents",
-    "clean_title": "select doc_id, coalesce(nullif(" + _strip("replace(replace(" + _clean("case when doc_id % 10 = 0 then ' # ' else '# | ' || left(text, 60) end") + ", '|', '-'), '#', '')") + ", ''), 'Untitled') as title from documents",
+    "clean_title": "select doc_id, coalesce(nullif(" + _strip("replace(replace(" + _clean("case when doc_id % 10 = 0 then ' # ' else '# | ' || text end") + ", '|', '-'), '#', '')") + ", ''), 'Untitled') as title from documents",
     "normalise_date": "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as iso_date from orders",
     "split_chunks": f"select doc_id, i as chunk, length(substring(text, (i * {CHUNK_LENGTH} + 1)::bigint, {CHUNK_LENGTH}))::bigint as n_chars, md5(substring(text, (i * {CHUNK_LENGTH} + 1)::bigint, {CHUNK_LENGTH})) as piece_md5 from (select doc_id, text, unnest(range(greatest(1, ceil(length(text) / {CHUNK_LENGTH}.0)::bigint))) as i from documents)",
     "translate_identity": f"select doc_id, md5(case when lower(lang) in ('en', 'en-us', 'en-gb') then text else array_to_string(list_transform(range(greatest(1, ceil(length(text) / {CHUNK_LENGTH}.0)::bigint)), lambda i: substring(text, (i * {CHUNK_LENGTH} + 1)::bigint, {CHUNK_LENGTH})), chr(10) || chr(10)) end) as text_md5 from documents",
@@ -88,7 +89,7 @@ SQL: dict[str, str] = {
     "candidate_dedup": f"with {PAGES} select source, norm_url, min(page_id) as page_id, arg_min(url, page_id) as url from pg group by source, norm_url",
     "candidate_union": f"with {PAGES}, b as (select *, 0 as way from pg where page_id % 2 = 1 union all select *, 1 as way from pg) select country_code, norm_url, page_id, way::bigint as way from (select *, row_number() over (partition by country_code, norm_url order by way, page_id) as k from b) where k = 1",
     "anti_join_known": f"with {PAGES} select page_id, norm_url from pg where (country_code, norm_url) not in (select country_code, norm_url from pg where page_id % 3 = 0)",
-    "listing_known_split": f"with {PAGES}, s as (select source, (country_code, norm_url) in (select country_code, norm_url from pg where page_id % 3 = 0) as known from pg where page_id % 2 = 0) select source, count(*) filter (known) as page_known, count(*) filter (not known) as page_new from s group by source",
+    "listing_known_split": f"with {PAGES}, s as (select source, (country_code, norm_url) in (select country_code, norm_url from pg where page_id % 3 = 0) as known from pg) select source, count(*) filter (known) as page_known, count(*) filter (not known) as page_new from s group by source",
     "pagination_stop": f"with {PAGES}, c as (select country_code as listing_url, page_id // 2 as page, count(*) filter (page_id % 5 >= 2) as page_new, count(*) filter (page_id % 5 < 2) as page_known from pg group by 1, 2) select *, coalesce(not bool_or(page_new = 0 and (page > 1 or page_known = 0)) over (partition by listing_url order by page rows between unbounded preceding and 1 preceding), true) as reached from c",
     "page_urls": f"with {SITES}, l as (select *, unnest([base_url || '/news/', base_url || '/press']) as listing_url from sites), p as (select *, unnest(range(1, case when pagination like '%{{n}}%' then max_pages + 1 else 2 end)) as page from l) select name as source, listing_url, page, case when page = 1 then listing_url else rtrim(listing_url, '/') || replace(pagination, '{{n}}', ((page - 1) * step)::varchar) end as url from p",
     "archive_urls": f"with {SITES} select name as source, i as ord, base_url || '/news/' || strftime(date '{AS_OF}' - to_months(i::int), '%Y%m') || '/index.html' as url from sites, range({ARCHIVE_MONTHS}) as r(i) where name = 'NATION_12'",
@@ -105,15 +106,15 @@ SQL: dict[str, str] = {
     "stats_last_wins": f"with {DECIDED}, s as (select source, min(country_code) as country_code, min(page_id) as site_ord, {_STATS} from decided group by source) select country_code, arg_max(saved, site_ord) as saved, arg_max(skipped, site_ord) as skipped, arg_max(errors, site_ord) as errors from s group by country_code",
     "summary_report": f"with {DECIDED}, s as (select country_code, {_STATS} from decided group by country_code) select country_code, 0::bigint as ord, {_LINE.format('upper(country_code)', 'saved', 'skipped', 'errors')} as line, errors > 0 as flag from s union all select 'TOTAL', 1, {_LINE.format(chr(39) + 'TOTAL' + chr(39), 'sum(saved)::bigint', 'sum(skipped)::bigint', 'sum(errors)::bigint')}, sum(errors) > 0 from s",
     "limit_before_filter": f"with {PAGES} select page_id, source from (select *, row_number() over (partition by source order by page_id) as k from pg) where k <= 3 and page_id % 2 = 0",
-    "index_load": f"with {_INDEX} select country_code, norm_url, arg_max(title, page_id) as title, arg_max(date, page_id) as date, max(page_id) as page_id from ix where country_code <> 'fr' group by 1, 2",
-    "index_sorted": f"with {_INDEX} select country_code, row_number() over (partition by country_code order by date desc, page_id) as place, date, title from ix",
+    "index_load": f"with {_ALL} select country_code, norm_url, arg_max(title, page_id) as title, arg_max(date, page_id) as date, max(page_id) as page_id from ix where country_code <> 'fr' group by 1, 2",
+    "index_sorted": f"with {_ALL} select country_code, row_number() over (partition by country_code order by date desc, page_id) as place, date, title from ix",
     "index_upsert": f"with {_INDEX}, {_SAVED}, o as (select country_code, norm_url, arg_max(title, page_id) as title, arg_max(date, page_id) as date, '' as content_hash, {_UID.format('arg_max(url, page_id)')} as unique_id from ix group by 1, 2) select * from o union all select country_code, norm_url, 'New ' || page_id, '2024-05-01', md5(url), {_UID.format('url')} from sv where (country_code, norm_url) not in (select country_code, norm_url from ix)",
     "commit_guard": f"with {_INDEX}, {_SAVED} select country_code, norm_url, url, 'New ' || page_id as title, md5(url) as content_hash from sv where (country_code, norm_url) not in (select country_code, norm_url from ix)",
     "shared_index": f"with {PAGES} select country_code, norm_url, page_id, page_id % 2 as site_ord from (select *, row_number() over (partition by country_code, norm_url order by page_id % 2, page_id) as k from pg) where k = 1",
     "checkpoint_merge": f"with {DECIDED}, l as (select source, url_key, arg_max(case when page_id % 2 = 0 then 'n' || page_id else '' end, page_id) as etag, arg_max(coalesce(chash, ''), page_id) as chash, arg_max(decision, page_id) as decision from decided group by 1, 2), f as (select * from l where decision in ('unchanged', 'unparsable', 'duplicate', 'saved')) select coalesce(cp.source, f.source) as source, coalesce(cp.url_key, f.url_key) as url_key, coalesce(nullif(f.etag, ''), cp.etag, '') as etag, case when f.source is not null then 'Mon' else cp.last_modified end as last_modified, coalesce(case when f.decision <> 'unchanged' then f.chash end, cp.chash, '') as chash from cp full outer join f on cp.source = f.source and cp.url_key = f.url_key",
-    "raw_append": "select doc_id, source, n_chars from documents where doc_id % 2 = 0 union all select doc_id, source, n_chars from documents where doc_id % 3 = 0",
+    "raw_append": "select doc_id, source, n_chars, 'a' as batch from documents union all select doc_id, source, n_chars, 'b' from documents",
     "content_dup_report": "select md5(text) as content_hash, count(*) as n, printf('%08d', min(doc_id)) as first_url from documents group by 1 having count(*) > 1",
-    "markdown_render": f"with {PAGES}, m as (select * from pg where page_id % 2 = 0) select country_code, -1::bigint as ord, '# Country: ' || country_code || chr(10) || chr(10) || '*Last updated: 2026-03-24 02:29 UTC*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) as text from m group by country_code union all select country_code, page_id, '### Title ' || page_id || chr(10) || chr(10) || '- **Source:** ' || source || chr(10) || '- **URL:** ' || url || chr(10) || '- **Published Date:** ' || case page_id % 3 when 0 then 'N/A' when 1 then '' else '2024-05-01' end || chr(10) || '- **Scraped Date:** ' || left('{SCRAPED_AT}', 10) || chr(10) || '- **Word Count:** ' || page_id || chr(10) || '- **Unique ID:** `' || {_UID.format('url')} || '`' || chr(10) || chr(10) || '#### Content:' || chr(10) || chr(10) || norm_url || chr(10) || chr(10) || '---' || chr(10) || chr(10) from m",
+    "markdown_render": f"with {PAGES}, m as (select * from pg) select country_code, -1::bigint as ord, '# Country: ' || country_code || chr(10) || chr(10) || '*Last updated: 2026-03-24 02:29 UTC*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) as text from m group by country_code union all select country_code, page_id, '### Title ' || page_id || chr(10) || chr(10) || '- **Source:** ' || source || chr(10) || '- **URL:** ' || url || chr(10) || '- **Published Date:** ' || case page_id % 3 when 0 then 'N/A' when 1 then '' else '2024-05-01' end || chr(10) || '- **Scraped Date:** ' || left('{SCRAPED_AT}', 10) || chr(10) || '- **Word Count:** ' || page_id || chr(10) || '- **Unique ID:** `' || {_UID.format('url')} || '`' || chr(10) || chr(10) || '#### Content:' || chr(10) || chr(10) || norm_url || chr(10) || chr(10) || '---' || chr(10) || chr(10) from m",
     "minimum_slice": f"with {PAGES}, f as (select * from (select *, row_number() over (partition by norm_url order by page_id) as k from pg) where k = 1), a as (select page_id, norm_url, {TITLE} as title, {BODY} as body, {_UID.format('url')} as unique_id from f) select page_id, norm_url, title, '' as date, {_words('body')}::bigint as word_count, unique_id, md5(body) as content_hash from a where length(body) >= {MIN_BODY}",
 }
 

@@ -72,7 +72,7 @@ def clean_text(spark, sf_dir):
 
 
 def clean_title(spark, sf_dir):
-    dirty = F.when(F.col("doc_id") % 10 == 0, F.lit(" # ")).otherwise(F.concat(F.lit("# | "), F.substring("text", 1, 60)))
+    dirty = F.when(F.col("doc_id") % 10 == 0, F.lit(" # ")).otherwise(F.concat(F.lit("# | "), "text"))
     return table(spark, sf_dir, "documents").select("doc_id", text.clean_title(dirty).alias("title"))
 
 
@@ -178,7 +178,7 @@ def anti_join_known(spark, sf_dir):
 
 def listing_known_split(spark, sf_dir):
     pages = _pages(spark, sf_dir)
-    split = discover.known_split(pages.where("page_id % 2 = 0"), _known(pages), ["country_code", "norm_url"])
+    split = discover.known_split(pages, _known(pages), ["country_code", "norm_url"])
     return split.groupBy("source").agg(F.count_if("known").alias("page_known"), F.count_if(~F.col("known")).alias("page_new"))
 
 
@@ -318,14 +318,16 @@ def limit_before_filter(spark, sf_dir):
     return rows.where(F.col("page_id") % 2 == 0).select("page_id", "source")
 
 
-def _index(spark, sf_dir):
-    pages = _known(_pages(spark, sf_dir))
+def _index(spark, sf_dir, whole=False):
+    """Index records of the known pages, or of all."""
+    pages = _pages(spark, sf_dir)
+    pages = pages if whole else _known(pages)
     day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 40).cast("int")), "yyyy-MM-dd")
     return pages.select("country_code", "norm_url", "url", F.concat(F.lit("Title "), F.col("page_id").cast("string")).alias("title"), F.when(F.col("page_id") % 4 == 0, F.lit("")).otherwise(day).alias("date"), "source", "page_id")
 
 
 def index_load(spark, sf_dir):
-    records = _index(spark, sf_dir).drop("norm_url")
+    records = _index(spark, sf_dir, True).drop("norm_url")
     corpora = records.select("country_code").where("country_code <> 'fr'")
     return state.usable_index(records.withColumnRenamed("page_id", "ord"), corpora).select("country_code", "norm_url", "title", "date", F.col("ord").alias("page_id"))
 
@@ -333,7 +335,7 @@ def index_load(spark, sf_dir):
 def index_sorted(spark, sf_dir):
     from pyspark.sql.window import Window
 
-    rows = export.sorted_index(_index(spark, sf_dir), "page_id")
+    rows = export.sorted_index(_index(spark, sf_dir, True), "page_id")
     place = F.row_number().over(Window.partitionBy("country_code").orderBy(F.col("date").desc(), "page_id"))
     return rows.select("country_code", place.cast("long").alias("place"), "date", "title")
 
@@ -369,7 +371,7 @@ def checkpoint_merge(spark, sf_dir):
 
 def raw_append(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    return docs.where("doc_id % 2 = 0").unionByName(docs.where("doc_id % 3 = 0"))
+    return docs.withColumn("batch", F.lit("a")).unionByName(docs.withColumn("batch", F.lit("b")))
 
 
 def content_dup_report(spark, sf_dir):
@@ -378,7 +380,7 @@ def content_dup_report(spark, sf_dir):
 
 
 def markdown_render(spark, sf_dir):
-    rows = _pages(spark, sf_dir).where("page_id % 2 = 0").select(
+    rows = _pages(spark, sf_dir).select(
         "country_code", F.col("country_code").alias("country"), "source", "url", F.concat(F.lit("Title "), F.col("page_id").cast("string")).alias("title"), F.when(F.col("page_id") % 3 == 0, F.lit(None)).when(F.col("page_id") % 3 == 1, F.lit("")).otherwise(F.lit("2024-05-01")).alias("date"),
         F.lit(SCRAPED_AT).alias("scraped_at"), F.col("page_id").alias("word_count"), text.unique_id(F.col("url")).alias("unique_id"), F.col("norm_url").alias("body"), F.col("page_id").alias("ord"),
     )
@@ -386,8 +388,13 @@ def markdown_render(spark, sf_dir):
 
 
 def minimum_slice(spark, sf_dir):
-    """The flagship: pages, first of each normal form, parsed, thin ones dropped, as index rows in order."""
-    pages = discover.first_wins(_pages(spark, sf_dir, "html"), ["norm_url"], "page_id")
+    """The flagship: pages, first of each normal form, parsed, thin ones dropped, as index rows in order.
+
+    First finds are chosen by key alone; only then the chosen pages' html is read, so that none of it is shuffled where the
+    keys are few enough to be sent to the scan."""
+    keys = _pages(spark, sf_dir)
+    first = keys.groupBy("norm_url").agg(F.min_by(F.struct("page_id", "url"), "page_id").alias("f")).select("norm_url", F.col("f.page_id").alias("page_id"), F.col("f.url").alias("url"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html").join(first, "page_id")
     rows = pages.withColumn("a", article.parse_article(F.col("html"), F.col("url"))).where(F.length("a.body") >= MIN_BODY)
     rows = rows.select("page_id", "norm_url", F.substring("a.title", 1, TITLE_LENGTH).alias("title"), dates.normalise_date(F.col("a.date_raw")).alias("date"), text.word_count(F.col("a.body")).cast("long").alias("word_count"), text.unique_id(F.col("url")).alias("unique_id"), F.md5("a.body").alias("content_hash"))
     return rows.orderBy(F.col("date").desc(), "page_id")
