@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,10 @@ def local_session(cores: int = 8, shared: str = LOCAL_SHARED, memory: str = "12g
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one is set only where none is named."""
+    """The folder in spark.checkpoint.dir; a local one is set only where none is named and driver and executors are one process."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(named or LOCAL_SHARED)
     return named or LOCAL_SHARED
