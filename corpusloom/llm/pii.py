@@ -1,19 +1,21 @@
 """Personal data: base patterns, and terms that disclose protected values.
 
-Base spans are e-mail addresses, IP addresses, payment cards and telephone numbers. For every protected value c and every
-term t within WINDOW words of it, the corpus tells in how many different texts they stand together, in how many c does
-and in how many t does (copies of a text are one text in all three counts). The pointwise mutual information
-PMI(c; t) against the information content -ln p(c) is the disclosure of c by t. Terms whose disclosure of some value
-reaches the threshold are spans too, and are generalised or removed.
-
-Nulls count as empty texts, which have no spans. Repeated rows are scanned alike; they do not add to the counts. Offsets are
-code points, end exclusive.
+Base spans are e-mail addresses, IP addresses, payment cards and telephone numbers. Real values seldom recur, so what is
+protected are entities: each value itself, an address's local part and its domain, and the holder of a value, a name of two
+or three capitalised words beside it. For every entity c and every term t within WINDOW words of one of its values, the
+corpus tells in how many different texts they stand together, in how many c does and in how many t does (copies of a text
+are one text in all three counts). The smoothed pointwise mutual information PMI(c; t) against the information content
+-ln p(c) is the disclosure of c by t. Terms whose disclosure of some entity reaches the threshold are spans too, and are
+generalised or removed in the sanitised text, whose hash `scan` returns.
+
+Nulls count as empty texts, which have no spans. Repeated rows are scanned alike; they do not add to the counts. Ties with the
+threshold disclose. An empty table gives no terms and an empty result. Whole texts are read, however long. Ids may be of any
+type; extra columns are left out, whatever their names. Offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -35,7 +37,9 @@ WINDOW = 8
 MIN_CONTEXTS = 3
 #: PMI(c; t) / -ln p(c) from which a term discloses.
 DISCLOSURE = 0.8
-#: Disclosing terms that may be sent to every worker (8 bytes each); beyond it they are joined to the texts.
+#: Taken from the count of a pair and added to those of its parts, against chance in small counts.
+SMOOTH = 0.1
+#: Terms that may be sent to every worker (8 bytes each); beyond it they are joined to the texts.
 BROADCAST_TERMS = 500_000
 #: Letters of a term; a pair of letters of a script without spaces is enough.
 MIN_LETTERS = 3
@@ -100,35 +104,67 @@ def _code_points(words: textbatch.Words) -> tuple[np.ndarray, np.ndarray]:
     return chars[words.start] - base, chars[words.end] - base
 
 
+def entities(kind: str, value: str) -> list[str]:
+    """What a value tells by itself: it, and of an address its local part and its domain."""
+    value = value.lower()
+    return [f"{kind}:{value}", *(f"{part}:{x}" for part, x in zip(("local", "domain"), value.rsplit("@", 1), strict=True))] if kind == "email" else [f"{kind}:{value}"]
+
+
+def holder(near: list[str]) -> str | None:
+    """The name that ends a list of neighbouring words (written as in the text): its last two or three capitalised ones."""
+    name = []
+    for word in near[::-1][:3]:
+        if not word[:1].isupper() or len(word) < 2:
+            break
+        name.append(word.lower())
+    return " ".join(name[::-1]) if len(name) > 1 else None
+
+
 def neighbourhoods(docs: DataFrame) -> DataFrame:
-    """value, at, terms: for every protected value of a text, hashes of it and of the text, and the terms near it anywhere there."""
+    """value, at, term, term_key: for every entity of a text, hashes of it and of the text, and each term near it anywhere
+    there with its hash; one row with a null term for every entity and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column, keys = textbatch.as_strings(batch.column("text")), batch.column("at").to_numpy()
             found = [base_spans(text) for text in column.to_pylist()]
             rows = np.flatnonzero([len(spans) > 0 for spans in found])
-            made = []
             own = column.take(pa.array(rows, pa.int64()))
             for start, stop in textbatch.slices(own):
+                made: dict[tuple[int, int, str | None], int | None] = {}
                 words = letter_words(own, start, stop)
                 left, right = _code_points(words)
+                h = words.hashes().view(np.int64)
                 border = np.searchsorted(words.row, np.arange(words.rows + 1))
                 raw = words.data.tobytes()
                 for r in range(words.rows):
                     row, lo, hi = rows[start + r], border[r], border[r + 1]
-                    text = column[int(row)].as_py()
-                    near: dict[int, set[str]] = {}
+                    text, at = column[int(row)].as_py(), int(keys[row])
+                    same = len(text.lower()) == len(text)
                     for a, b, kind in found[row]:
                         before = lo + int(np.searchsorted(right[lo:hi], a, side="right"))
                         after = lo + int(np.searchsorted(left[lo:hi], b, side="left"))
                         places = [*range(max(lo, before - WINDOW), before), *range(after, min(hi, after + WINDOW))]
-                        terms = {raw[words.start[i] : words.end[i]].decode() for i in places}
-                        near.setdefault(_hash(f"{kind}:{text[a:b].lower()}"), set()).update(t for t in terms if len(t) >= (2 if paired(t) else MIN_LETTERS))
-                    made += [(value, int(keys[row]), sorted(terms)) for value, terms in near.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.list_(pa.string()))], names=["value", "at", "terms"])
+                        who = entities(kind, text[a:b])
+                        if same:
+                            # Lower-casing kept all places, so the words can be read as they are written.
+                            who += [f"holder:{x}" for side in (range(max(lo, before - 3), before), range(min(hi, after + 3) - 1, after - 1, -1)) if (x := _name(text, side, left, right))]
+                        for value in map(_hash, who):
+                            made[value, at, None] = None
+                            for i in places:
+                                term = raw[words.start[i] : words.end[i]].decode()
+                                if len(term) >= (2 if paired(term) else MIN_LETTERS):
+                                    made[value, at, term] = int(h[i])
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in made], pa.int64()), pa.array([k[1] for k in made], pa.int64()), pa.array([k[2] for k in made], pa.string()), pa.array(list(made.values()), pa.int64())], names=["value", "at", "term", "term_key"])
 
-    return _keyed(docs).mapInArrow(run, "value long, at long, terms array<string>").distinct()
+    return _keyed(docs).mapInArrow(run, "value long, at long, term string, term_key long").distinct()
+
+
+def _name(text: str, places: range, left: np.ndarray, right: np.ndarray) -> str | None:
+    """The holder's name in the words at places, the nearest last; its words stand in the order of the text."""
+    words = [text[left[i] : right[i]] for i in places]
+    name = holder(words)
+    return name if name is None or places.step > 0 else " ".join(name.split()[::-1])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -136,12 +172,6 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("at", F.xxhash64("text"))
 
 
-def term_hash(term: str) -> int:
-    """The hash that `letter_words` gives a lower-cased word."""
-    data = np.frombuffer(term.encode(), np.uint8)
-    return int(textbatch.span_hashes(data, np.array([0]), np.array([len(data)]))[0].astype(np.int64))
-
-
 def frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
     """term_key, n_texts: in how many different texts each wanted term (sorted hashes, one at least) stands."""
 
@@ -171,29 +201,25 @@ def frequencies(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame) -> DataFrame:
-    """term, term_key, disclosure (the largest over the protected values) of the terms to be treated."""
+    """term, term_key, disclosure (the largest over the entities) of the terms to be treated."""
     near = cut(neighbourhoods(docs))
-    values = near.groupBy("value").agg(F.count("*").alias("n_value"))
-    pairs = near.select("value", F.explode("terms").alias("term")).groupBy("value", "term").agg(F.count("*").alias("n_pair"))
+    values = near.where("term is null").groupBy("value").agg(F.count("*").alias("n_value"))
+    pairs = near.where("term is not null").groupBy("value", "term", "term_key").agg(F.count("*").alias("n_pair"))
     pairs = cut(pairs.where(F.col("n_pair") >= MIN_CONTEXTS).join(values, "value"))
-    key = F.udf(term_hash, "long")
-    terms = cut(pairs.select("term").distinct().withColumn("term_key", key("term")))
+    terms = cut(pairs.select("term_key").distinct())
     total = _keyed(docs).select("at").distinct().count()
-    parts, n = [], terms.count()
-    # The wanted terms go to the workers in blocks of bounded size.
-    blocks = max(1, math.ceil(n / BROADCAST_TERMS))
-    for k in range(blocks if n else 0):
-        wanted = np.sort(np.array([r["term_key"] for r in terms.where(F.pmod("term_key", F.lit(blocks)) == k).select("term_key").collect()], dtype=np.int64).view(np.uint64))
-        if len(wanted):
-            parts.append(frequencies(docs, wanted))
-    counts = parts[0] if parts else terms.select("term_key", F.lit(0).cast("long").alias("n_texts"))
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    p = lambda c: F.col(c) / F.lit(float(max(total, 1)))
-    # A value's share can't be above 1, nor a pair be rarer than it is seen.
-    content = F.greatest(-F.log(F.least(p("n_value"), F.lit(0.999))), F.lit(1e-3))
-    pmi = F.log(p("n_pair") / (p("n_value") * F.greatest(p("n_texts"), p("n_pair"))))
-    scored = pairs.join(terms, "term").join(counts, "term_key").withColumn("disclosure", pmi / content)
+    n = terms.count()
+    if n == 0:
+        counts = terms.withColumn("n_texts", F.lit(0).cast("long"))
+    elif n <= BROADCAST_TERMS:
+        counts = frequencies(docs, np.sort(terms.toArrow()["term_key"].to_numpy().view(np.uint64)))
+    else:
+        counts = _own_terms(_keyed(docs), terms).groupBy("term_key").agg(F.count("*").alias("n_texts"))
+    n_all, n_value, n_texts, n_pair = F.lit(float(max(total, 1))), F.col("n_value"), F.greatest("n_texts", "n_pair"), F.col("n_pair")
+    # A value's share can't be above 1.
+    content = F.greatest(-F.log(F.least(n_value / n_all, F.lit(0.999))), F.lit(1e-3))
+    pmi = F.log((n_pair - SMOOTH) * n_all / ((n_value + SMOOTH) * (n_texts + SMOOTH)))
+    scored = pairs.join(counts, "term_key").withColumn("disclosure", pmi / content)
     return cut(scored.where(F.col("disclosure") >= DISCLOSURE).groupBy("term", "term_key").agg(F.max("disclosure").alias("disclosure")))
 
 
@@ -222,10 +248,11 @@ def _spans(column: pa.Array, start: int, stop: int, wanted: np.ndarray) -> Itera
 
 
 def scan(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term of every text; the terms' number is checked before they are sent."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term and sanitised_sha256 of every text; the terms' number
+    is checked before they are sent."""
     if terms.count() > BROADCAST_TERMS:
         return _scan_joined(docs, terms)
-    return _scan(docs, np.sort(np.array([r["term_key"] for r in terms.select("term_key").collect()], dtype=np.int64).view(np.uint64)))
+    return _scan(docs, np.sort(terms.select("term_key").toArrow()["term_key"].to_numpy().view(np.uint64)))
 
 
 def _scan(docs: DataFrame, wanted: np.ndarray, per_row: str | None = None) -> DataFrame:
@@ -239,17 +266,17 @@ def _scan(docs: DataFrame, wanted: np.ndarray, per_row: str | None = None) -> Da
                 ranges = [(first, last, wanted)] if own is None else [(i, i + 1, np.sort(np.array(own[i] or [], np.int64).view(np.uint64))) for i in range(first, last)]
                 for start, stop, keys in ranges:
                     rows = []
-                    for _, base, more in _spans(column, start, stop, keys):
+                    for text, base, more in _spans(column, start, stop, keys):
                         n = Counter(k for _, _, k in base)
-                        rows.append((n["email"], n["ip"], n["card"], n["phone"], hashlib.sha256(joined(base).encode()).hexdigest(), joined([*base, *more]), len(more)))
-                    made = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term"])
+                        rows.append((n["email"], n["ip"], n["card"], n["phone"], hashlib.sha256(joined(base).encode()).hexdigest(), joined([*base, *more]), len(more), hashlib.sha256(sanitise(text, base, more).encode()).hexdigest()))
+                    made = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term", "sanitised_sha256"])
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), *(pa.array(made[c]) for c in made)], names=["doc_id", *made])
 
-    return docs.select("doc_id", "text", *([per_row] if per_row else [])).mapInArrow(run, f"doc_id {id_type}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_term long")
+    return docs.select("doc_id", "text", *([per_row] if per_row else [])).mapInArrow(run, f"doc_id {id_type}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_term long, sanitised_sha256 string")
 
 
-def _scan_joined(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Like `_scan` with any number of terms: each text meets its own terms through a join on (text hash, term)."""
+def _own_terms(keyed: DataFrame, terms: DataFrame) -> DataFrame:
+    """at, term_key: which of any number of terms stand in each text, through a join on the term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,9 +286,13 @@ def _scan_joined(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 pair = np.unique(np.stack([words.row.astype(np.int64) + start, words.hashes().view(np.int64)]), axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column("at").take(pa.array(pair[0])), pa.array(pair[1])], names=["at", "term_key"])
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("at"))
-    own = keyed.select("text", "at").mapInArrow(run, "at long, term_key long").distinct().join(terms.select("term_key"), "term_key", "left_semi")
-    lists = own.groupBy("at").agg(F.collect_list("term_key").alias("own_terms"))
+    return keyed.select("text", "at").mapInArrow(run, "at long, term_key long").distinct().join(terms.select("term_key"), "term_key", "left_semi")
+
+
+def _scan_joined(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Like `_scan` with any number of terms: each text meets its own terms through a join on (text hash, term)."""
+    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("at"))
+    lists = _own_terms(keyed, terms).groupBy("at").agg(F.collect_list("term_key").alias("own_terms"))
     return _scan(keyed.join(lists, "at", "left"), np.zeros(0, np.uint64), "own_terms")
 
 

@@ -110,3 +110,53 @@ def test_terms_without_spaces(spark):
     terms = pii.disclosing_terms(docs)
     assert {r.term for r in terms.collect()} == {"王小", "小明"}
     assert "term:3:5,term:4:6" in pii.scan(docs, terms).where("doc_id = 100").first().spans
+
+
+def test_entities_beyond_equal_values(spark):
+    """Terms near other values of one local part, one domain or one named holder disclose, too; the sanitised text shows it."""
+    filler = [f"other matter {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}x" for i in range(100)]
+    local = [f"{'abcd'[i]}one then Theodora has dora.k@host{i}.org {'abcd'[i]}two" for i in range(4)]
+    domain = [f"{'abcd'[i]}three firm Quuxworks gives {'abcd'[i]}x@quux.example {'abcd'[i]}four" for i in range(4)]
+    named = [f"{'abcd'[i]}five of Cornelia Vanderbilt +49 30 123456{i}0 the collector {'abcd'[i]}six" for i in range(4)]
+    texts = filler + local + domain + named
+    docs = spark.createDataFrame([(f"d{i}", t, 1, 2) for i, t in enumerate(texts)], "doc_id string, text string, value int, at int")
+    terms = pii.disclosing_terms(docs)
+    assert {"theodora", "quuxworks", "cornelia", "vanderbilt", "collector"} <= {r.term for r in terms.collect()}
+    got = {r.doc_id: r for r in pii.scan(docs, terms).collect()}
+    for i, t in enumerate(texts):
+        base = pii.base_spans(t)
+        more = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in got[f"d{i}"].spans.split(",") if x.startswith("term"))]
+        assert got[f"d{i}"].sanitised_sha256 == hashlib.sha256(pii.sanitise(t, base, more).encode()).hexdigest()
+    clean = [got[f"d{i}"] for i in range(100)]
+    assert all(r.n_term == 0 and r.spans == "" for r in clean)
+    assert all(r.sanitised_sha256 == hashlib.sha256(t.encode()).hexdigest() for r, t in zip(clean, filler, strict=True))
+
+
+def test_disclosure_like_brute_force(spark):
+    """PMI from a count by hand, on texts where everything is near everything."""
+    import itertools
+    import math
+    import random
+
+    rng = random.Random(6)
+    words = ["".join(x) for x in itertools.product("pqr", repeat=3)]
+    texts = {" ".join([*rng.sample(words, 3), f"{rng.choice('abc')}@h.org", *rng.sample(words, 3)]) for _ in range(80)}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(sorted(texts) * 2)], "doc_id long, text string")
+    best = {}
+    split = [t.split() for t in texts]
+    for value, has in [*((f"{x}@h.org", lambda t, x=x: f"{x}@h.org" in t) for x in "abc")]:
+        n_value = sum(map(has, split))
+        for w in words:
+            n_pair, n_texts = sum(has(t) and w in t for t in split), sum(w in t for t in split)
+            if n_pair >= pii.MIN_CONTEXTS:
+                pmi = math.log((n_pair - pii.SMOOTH) * len(texts) / ((n_value + pii.SMOOTH) * (n_texts + pii.SMOOTH)))
+                best[w] = max(best.get(w, -9), pmi / -math.log(min(n_value / len(texts), 0.999)))
+    want = {w: x for w, x in best.items() if x >= pii.DISCLOSURE}
+    got = {r.term: r.disclosure for r in pii.disclosing_terms(docs).collect()}
+    assert got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+
+
+def test_very_long_text(spark):
+    text = "ordinary words go on " * 60_000 + "me@x.org"
+    r = pii.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([], "term string, term_key long")).first()
+    assert r.n_email == 1 and r.spans == f"email:{len(text) - 8}:{len(text)}"
