@@ -7,7 +7,9 @@ or more that starts at the run's start or after a joint and ends at the run's en
 likelihood under the automaton against a class-bigram model of ordinary runs; the best parts that fit a format are added
 to the base patterns' spans.
 
-Nulls count as empty texts, which have no spans. Repeated rows are scanned alike. Offsets are code points, end exclusive.
+Nulls count as empty texts, which have no spans. Repeated rows are scanned alike. Equal scores go to the earlier part. An empty
+table gives an empty result, and a model of the public formats alone. Whole texts are scanned, however long. Ids may be of
+any type; extra columns are left out, whatever their names. Offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -39,8 +41,9 @@ MIN_RUN = 16
 JOINTS = frozenset("/=.-_+")
 #: Least probability of a move, an end or a pair.
 FLOOR = 1e-4
-#: Values of the corpus and ordinary runs that the fit may read, those of least hash.
-FIT_VALUES = 1_000
+#: Values of the corpus and ordinary runs that the fit may read: those of least hash among the ones of FIT_LENGTH characters
+#: at most. Both bound the sample that the model is fitted on and nothing else.
+FIT_VALUES, FIT_LENGTH = 1_000, 1_024
 ALPHA = 0.05
 #: Nats by which a format must be likelier than ordinary text.
 MIN_RATIO = 8.0
@@ -179,6 +182,16 @@ class Automaton:
             edges = [(r, c, s) for r in settled for c, s in self.moves[r].items() if s not in known]
         return self
 
+    def reachable(self) -> Automaton:
+        """The states that can be reached, renumbered: merging leaves the others behind."""
+        number, todo = {0: 0}, [0]
+        for q in todo:
+            for _, to in sorted(self.moves[q].items()):
+                if to not in number:
+                    number[to] = len(number)
+                    todo.append(to)
+        return Automaton([self.reached[q] for q in todo], [self.ended[q] for q in todo], [{c: number[to] for c, to in self.moves[q].items()} for q in todo], [self.taken[q] for q in todo])
+
     def likelihood(self, s: str, floor: float = FLOOR) -> float:
         """ln P(s), unseen moves counted with a small probability."""
         state, total = 0, 0.0
@@ -250,7 +263,7 @@ class Model:
 def learn(credentials: list[str], ordinary: list[str]) -> Model:
     """A model from labelled credentials and ordinary runs."""
     strings = [symbols(x) for x in credentials]
-    grammar = Automaton.prefix_tree(sorted(strings)).merge()
+    grammar = Automaton.prefix_tree(sorted(strings)).merge().reachable()
     pairs: Counter[str] = Counter()
     heads: Counter[str] = Counter()
     for run in ordinary or ["abcdefghijklmnopqrstuvwxyz"]:
@@ -263,6 +276,11 @@ def learn(credentials: list[str], ordinary: list[str]) -> Model:
     return Model(grammar, table, rates[len(rates) // 50] - 0.02 if rates else 0.0)
 
 
+def _least(runs: set[str]) -> list[tuple[str, str]]:
+    """Hash and run of those that the fit may read."""
+    return sorted((hashlib.md5(x.encode()).hexdigest(), x) for x in runs if len(x) <= FIT_LENGTH)[:FIT_VALUES]
+
+
 def fit(docs: DataFrame) -> Model:
     """A model from the corpus's base values and ordinary runs, FIT_VALUES of each at most, and the public formats."""
 
@@ -274,14 +292,14 @@ def fit(docs: DataFrame) -> Model:
                 mine = values(text)
                 good.update(mine)
                 if not mine:
-                    # Ordinary runs are those outside texts with credentials; the ones of least hash are enough.
-                    plain.update(RUN.findall(text)[:8])
-            plain = sorted(plain, key=lambda x: hashlib.md5(x.encode()).digest())[:FIT_VALUES]
-            good = sorted(good, key=lambda x: hashlib.md5(x.encode()).digest())[:FIT_VALUES]
-            yield pa.RecordBatch.from_arrays([pa.array([x[:200] for x in [*good, *plain]], pa.string()), pa.array([True] * len(good) + [False] * len(plain))], names=["run", "good"])
-
-    rows = docs.select("text").mapInArrow(found, "run string, good boolean").distinct()
-    pick = lambda good: [r["run"] for r in rows.where(F.col("good") == good).orderBy(F.xxhash64("run"), "run").limit(FIT_VALUES).collect()]
+                    # Ordinary runs are those of texts without credentials.
+                    plain.update(RUN.findall(text))
+            good, plain = _least(good), _least(plain)
+            yield pa.RecordBatch.from_arrays([pa.array([x for _, x in [*good, *plain]], pa.string()), pa.array([h for h, _ in [*good, *plain]], pa.string()), pa.array([True] * len(good) + [False] * len(plain))], names=["run", "hash", "good"])
+
+    # Each batch passes on its least hashes, by the order in which the least of all are taken: any partitioning gives the same.
+    rows = docs.select("text").mapInArrow(found, "run string, hash string, good boolean").distinct()
+    pick = lambda good: [r["run"] for r in rows.where(F.col("good") == good).orderBy("hash", "run").limit(FIT_VALUES).collect()]
     rows = rows.persist()
     try:
         return learn([*pick(True), *examples()], pick(False))

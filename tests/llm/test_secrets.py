@@ -91,3 +91,35 @@ def test_base_span_in_a_run(model):
 
 def test_many_joints(model):
     assert secrets.format_spans("a." * 20000, [], model) == []
+
+
+def test_fit_is_the_same_in_any_partitioning(spark):
+    rng = random.Random(21)
+    run = lambda n: "".join(rng.choice("abcdefgh/_-0123") for _ in range(n))
+    texts = [" ".join(run(rng.randint(16, 60)) for _ in range(20)) for _ in range(200)] + [f"token = {run(40)}" for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    a, b = secrets.fit(docs.repartition(2)), secrets.fit(docs.repartition(13))
+    assert a.pairs == b.pairs and a.least == b.least and a.grammar == b.grammar
+
+
+def test_planted_formats_are_found(spark):
+    """Credentials of public formats that no base pattern knows, between ordinary words of a corpus that it was fitted on."""
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choice(["tion", "ment", "er", "lich", "ung", "an"]) for _ in range(rng.randint(2, 9)))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = [("ghp_", 36), ("sk_live_", 24), ("AIza", 35)]
+    rows = []
+    for i in range(300):
+        prefix, n = forms[i % 3]
+        secret = prefix + "".join(rng.choice(letters) for _ in range(n)) if i < 150 else word()
+        rows.append((f"i{i}", " ".join([*(word() for _ in range(30)), secret, *(word() for _ in range(30))]), 1))
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n_hex int")
+    got = {r.doc_id: r.n_format for r in secrets.scan(docs, secrets.fit(docs)).collect()}
+    assert sum(got[f"i{i}"] > 0 for i in range(150)) >= 135
+    assert sum(got[f"i{i}"] > 0 for i in range(150, 300)) == 0
+
+
+def test_very_long_text(spark, model):
+    text = "plain words " * 100_000 + "x" * 5_000 + " token=abcdef1 " + "0123456789abcdef" * 2_000
+    r = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()
+    assert (r.n_assign, r.n_hex) == (1, 1) and r.spans.endswith(f"hex:{len(text) - 32_000}:{len(text)}")
