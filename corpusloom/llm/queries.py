@@ -29,7 +29,8 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mainpart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mainpart.extract(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    return mainpart.extract(pages, mainpart.fit(pages), mainpart.recurring_blocks(pages))
 
 
 def op4_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:

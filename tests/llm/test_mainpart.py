@@ -39,3 +39,53 @@ def test_table(spark):
     got = sorted((r.page_id, r.text, r.n_chars) for r in mainpart.extract(pages).collect())
     assert got == [(1, WANT, len(WANT)), (1, WANT, len(WANT)), (2, "", 0), (3, "", 0)]
     assert mainpart.extract(pages.limit(0)).count() == 0
+
+
+PLAIN = """<html><body><div class="kopfzeile">Wetter heute sonnig und warm</div><div class="navi"><div><a href=1>Politik</a></div><div><a href=2>Sport</a></div></div>
+<div class="inhalt"><h1>Ein Titel steht hier</h1><p>{long} Eins.</p><div>Ja.</div><p>{long} Zwei.</p><p>{long} Drei.</p></div>
+<div class="fuss"><div><a href=3>Impressum</a></div><div>Alle Rechte</div></div></body></html>""".replace("{long}", "Der lange Absatz hat viele Worte und einen Punkt am Ende. " * 4)
+
+
+def test_markup_without_telling_names():
+    got = mainpart.main_text(PLAIN).split("\n")
+    assert got[0] == "Ein Titel steht hier" and got[2] == "Ja." and len(got) == 5 and got[4].endswith("Drei.")
+
+
+def test_cut_overrules_unsure_blocks():
+    """A short block between paragraphs looks like boilerplate and is content; a block of prose among links is the other way."""
+    found, gain, content = mainpart.labelled(PLAIN)
+    at = [b.text for b in found].index("Ja.")
+    assert gain[at] < 0 and content[at]
+    links = "".join(f"<li><a href={i}>Entry {i} of the list</a></li>" for i in range(6))
+    found, gain, content = mainpart.labelled(f"<body><ul>{links}<li>Our most read words are here this week, in full.</li>{links}</ul></body>")
+    at = next(i for i, b in enumerate(found) if b.text.startswith("Our"))
+    assert gain[at] > 0 and not content[at]
+
+
+def test_recurring_blocks_and_fit(spark):
+    """A notice in a paragraph of its own, on every page of a host, goes; on one page of another host it stays."""
+    notice = "We use small files to make this site work better for all of its readers. Thank you for reading."
+    page = lambda i, extra: f"<body><div><p>{extra}</p></div><div><h1>Title {i}</h1><p>{'Own text of page %d goes on and on. ' % i * 8}</p><p>{'More of %d stands here, too. ' % i * 8}</p></div></body>"
+    rows = [(i, f"https://one.org/{i}", page(i, notice)) for i in range(6)] + [(10, "https://two.org/x", page(10, notice)), (11, None, page(11, notice))]
+    pages = spark.createDataFrame([(*r, 1, 2) for r in rows], "page_id long, url string, html string, host int, blocks int")
+    recurring = mainpart.recurring_blocks(pages)
+    assert [(r.host, list(r.blocks)) for r in recurring.collect()] == [("one.org", [mainpart.text_hash(notice)])]
+    got = {r.page_id: notice in r.text for r in mainpart.extract(pages, mainpart.fit(pages), recurring).collect()}
+    assert got == {**{i: False for i in range(6)}, 10: True, 11: True}
+
+
+def test_learned_weights():
+    rng = random.Random(3)
+    x = [[1.0, 0.0, rng.random() + 0.5, 1.0, 0.0, float(rng.random() < 0.9), rng.random(), 0.0, 0.0] for _ in range(300)] + [[1.0, rng.random(), rng.random(), 0.0, float(rng.random() < 0.5), 0.0, rng.random(), 1.0, 0.0] for _ in range(300)]
+    w = mainpart.learn(mainpart.np.array(x), mainpart.np.array([1.0] * 300 + [0.0] * 300))
+    assert w != mainpart.WEIGHTS and all(a * b > 0 for a, b in zip(w, mainpart.WEIGHTS, strict=True))
+    assert mainpart.learn(mainpart.np.array(x), mainpart.np.ones(600)) == mainpart.WEIGHTS
+
+
+def test_deep_and_long_pages():
+    import time
+
+    began = time.time()
+    deep = "".join(f"<div>text {i} " for i in range(20_000)) + "</div>" * 20_000 + "<p>" + "word " * 200_000 + "</p>" + "</i>" * 20_000
+    assert mainpart.main_text(deep).count("word") == 200_000
+    assert time.time() - began < 20
