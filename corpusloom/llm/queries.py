@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, fingerprint, linededup, mainpart, mixing, ngramjoin, pii, quality, secrets, toxicity
+from corpusloom.llm import bpe, fingerprint, linededup, mainpart, mixing, ngramjoin, pii, quality, secrets, sql, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -64,9 +64,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def _columns(query: Callable[[SparkSession, str], DataFrame], *names: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The part of a query's result that SQL can express."""
+    return lambda spark, sf_dir: query(spark, sf_dir).select(*names)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mixing": op1_mixing, "op2_bpe": op2_bpe, "op3_mainpart": op3_mainpart, "op4_linededup": op4_linededup, "op5_secrets": op5_secrets, "op6_ngramjoin": op6_ngramjoin, "op7_toxicity": op7_toxicity, "op8_pii": op8_pii, "op9_fingerprint": op9_fingerprint, "op10_quality": op10_quality}
+    whole = {f.__name__: f for f in (op1_mixing, op2_bpe, op3_mainpart, op4_linededup, op5_secrets, op6_ngramjoin, op7_toxicity, op8_pii, op9_fingerprint, op10_quality)}
+    return whole | {
+        "mixing_targets": _columns(op1_mixing, "doc_id", "size", "source_size", "target"),
+        "secrets_base": _columns(op5_secrets, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256"),
+        "pii_base": _columns(op8_pii, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"),
+        "fingerprint_base": _columns(op9_fingerprint, "doc_id", "n_chars", "edited_sha256", "near_edited", "near_next"),
+        "quality_base": _columns(op10_quality, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLE)
