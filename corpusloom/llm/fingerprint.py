@@ -63,8 +63,10 @@ def _entries(sets: DataFrame, names: list[str]) -> DataFrame:
 
 def _added(entries: DataFrame, names: list[str]) -> DataFrame:
     """The cells that are not empty, each the sum of its entries."""
-    sums = entries.groupBy(*names, "size", "cell").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
-    return sums.where((F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
+    # A struct as key: for plain numbers each aggregation would take a page of memory of its own before it begins.
+    sums = entries.groupBy(*names, F.struct("size", "cell").alias("at")).agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    sums = sums.where((F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
+    return sums.select(*names, "at.size", "at.cell", "n", "key", "check")
 
 
 def fingerprints(sets: DataFrame) -> DataFrame:
@@ -93,14 +95,14 @@ def _peeled(cells: DataFrame, table: int) -> DataFrame:
     return _added(moved.select("pair", "size", "c.*"), ["pair"])
 
 
-def _attempt(pairs: DataFrame) -> DataFrame:
+def _attempt(pairs: DataFrame, turns: int = TURNS) -> DataFrame:
     """pair, size, found, mark, remain of the pairs (pair, size, a, b) whose sketches differ, which must be dealt by pair.
 
     remain is 0 if all cells came out empty; else it estimates the digests that were not found, by the squares of the cells'
     counts: n digests of two signs in a table of m cells give n (1 - 1/m) + d d / m, where d is their signed sum."""
     sides = F.array(*[F.struct(F.lit(sign).cast("long").alias("n"), F.col(side).alias("keys")) for side, sign in (("a", 1), ("b", -1))])
     sets = pairs.select("pair", "size", F.explode(sides).alias("s")).select("pair", "size", "s.n", "s.keys")
-    cells = reduce(_peeled, list(range(TABLES)) * TURNS, _added(_entries(sets, ["pair"]), ["pair"]))
+    cells = reduce(_peeled, list(range(TABLES)) * turns, _added(_entries(sets, ["pair"]), ["pair"]))
     n, size, left = F.col("n"), F.col("size"), F.col("cell") >= 0
     sums = cells.groupBy("pair", "size").agg(
         F.max(F.when(~left, n)).alias("found"), F.max(F.when(~left, F.col("check"))).alias("mark"), F.count_if(left).alias("open"), F.sum(F.when(left, n * n)).alias("squares"), F.sum(F.when(left & (F.col("cell") < size), n)).alias("signed")
@@ -115,20 +117,19 @@ def differences(pairs: DataFrame) -> DataFrame:
     """pair, found, mark of the pairs of sets (pair, a, b) that differ: how many digests stand in just one of the sets, and
     the recovered digests' hashes with their sides, combined. Pairs that are left out have equal sets.
 
-    Nearly all pairs are decoded by the first sketches or by those made for the estimate; sizes at least double, so the loop
-    ends after a few rounds even for the longest texts."""
-    # Sets whose numbers differ by more than the cells of a sketch can't be decoded by it.
-    least = F.abs(F.size("a") - F.size("b"))
-    size = F.when(least <= TABLES * BASE, F.lit(BASE)).otherwise(F.ceil(least * ROOM) + BASE)
-    tried = cut(_attempt(pairs.withColumn("size", size.cast("long")).repartition("pair")))
-    done = [tried.where("remain = 0")]
+    The fingerprints' own sketches, subtracted, estimate the difference; they are peeled where it is small enough for them, and
+    sketches of the size that it asks for otherwise. Nearly all pairs are decoded so. For the others sizes at least double, so
+    the loop ends after a few rounds even for the longest texts."""
+    tried = cut(_attempt(pairs.withColumn("size", F.lit(BASE).cast("long")).repartition("pair"), 0))
+    size = F.when(F.col("remain") <= 2 * BASE, F.lit(BASE)).otherwise(F.ceil(F.col("remain") * ROOM) + BASE)
+    done = []
     while True:
-        size = F.greatest(F.col("size") * 2, F.ceil((F.col("found") + F.col("remain")) * ROOM) + BASE)
         still = tried.where("remain > 0").select(F.col("pair").alias("own"), size.cast("long").alias("size"))
         if still.isEmpty():
-            return reduce(DataFrame.unionByName, done).select("pair", "found", "mark")
+            return reduce(DataFrame.unionByName, done or [tried]).select("pair", "found", "mark")
         tried = cut(_attempt(pairs.join(still.hint("merge"), F.col("pair") == F.col("own")).drop("own")))
         done.append(tried.where("remain = 0"))
+        size = F.greatest(F.col("size") * 2, F.ceil((F.col("found") + F.col("remain")) * ROOM) + BASE)
 
 
 def successors(ids: DataFrame) -> DataFrame:
