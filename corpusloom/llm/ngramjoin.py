@@ -46,6 +46,7 @@ FLUSH = 1 << 20
 _MEMBER_BITS = 24
 #: Bits of a shingle's hash.
 HASH_BITS = 64 - textbatch.ROW_BITS
+_COUNTED = np.dtype([("low", "<u4"), ("n", "<u4")])
 _POSTING = np.dtype([("key", "<u8"), ("sig", "<u8"), ("n", "<u4")])
 
 
@@ -104,18 +105,24 @@ def frequent(docs: DataFrame, buckets: int) -> np.ndarray:
                     continue
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 found, held = [], 0
-                times = np.minimum(n, top)
-                low = np.repeat((h & np.uint64(0xFFFFFFFF)).astype("<u4"), times)
-                b, blobs = _blobs(np.repeat(h, times), low, buckets)
-                yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+                # Counts are summed before they are sent: a shingle of many documents is sent once, with its number.
+                many = n > 1
+                b, blobs = _blobs(h[~many], (h[~many] & np.uint64(0xFFFFFFFF)).astype("<u4"), buckets)
+                counted = np.zeros(int(many.sum()), _COUNTED)
+                counted["low"], counted["n"] = h[many] & np.uint64(0xFFFFFFFF), np.minimum(n[many], top)
+                c, sums = _blobs(h[many], counted, buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(b + c, pa.int32()), pa.array(blobs + [None] * len(c), pa.binary()), pa.array([None] * len(b) + sums, pa.binary())], names=["bucket", "blob", "sums"])
 
     def count(group: pa.Table) -> pa.Table:
-        low, n = np.unique(np.frombuffer(b"".join(group.column("blob").to_pylist()), "<u4"), return_counts=True)
+        join = lambda name, kind: np.frombuffer(b"".join(x for x in group.column(name).to_pylist() if x is not None), kind)
+        once, sums = join("blob", "<u4"), join("sums", _COUNTED)
+        low, place = np.unique(np.concatenate([once, sums["low"]]), return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([np.ones(len(once)), sums["n"]]), minlength=len(low))
         level = np.searchsorted(LEVELS, n, side="right")
         keep = level > 0
         return pa.table({"low": pa.array(low[keep].astype(np.int64)), "level": pa.array(level[keep].astype(np.int32))})
 
-    levels = cut(docs.select("text").mapInArrow(emit, "bucket int, blob binary").groupBy("bucket").applyInArrow(count, "low long, level int"))
+    levels = cut(docs.select("text").mapInArrow(emit, "bucket int, blob binary, sums binary").groupBy("bucket").applyInArrow(count, "low long, level int"))
     have = {r["level"]: r["n"] for r in levels.groupBy("level").agg(F.count("*").alias("n")).collect()}
     for level in range(1, len(LEVELS) + 1):
         if sum(n for k, n in have.items() if k >= level) <= FREQUENT_LIMIT:
