@@ -34,6 +34,8 @@ TURNS = 2
 #: Cells a table for each digest that is expected to differ. Three tables need 1.23 cells a digest together; with more room,
 #: two turns are enough.
 ROOM = 1.0
+#: Pairs that may be broadcast to be tried again (16 bytes each).
+BROADCAST_PAIRS = 200_000
 #: Rows for each range in which the order of documents is found, and ranges at most (their first rows are broadcast).
 RANGE_ROWS, RANGES = 50_000, 1 << 16
 _PIECES = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}" % PIECE
@@ -70,15 +72,16 @@ def _added(entries: DataFrame, names: list[str]) -> DataFrame:
 
 
 def fingerprints(sets: DataFrame) -> DataFrame:
-    """id, fingerprint of every row of sets (id, keys): the number of digests, then cell, count, digests and checks of every
-    filled cell. Rows are dealt by id once."""
-    dealt = sets.repartition("id").withColumns({"size": F.lit(BASE).cast("long"), "n": F.lit(1).cast("long")})
-    cells = _added(_entries(dealt, ["id"]), ["id"])
+    """row, side, fingerprint of sets (row, side, keys) with a digest: the number of digests, then cell, count, digests and
+    checks of every filled cell. The sets are dealt by row once, and so is the result."""
+    names = ["row", "side"]
+    dealt = sets.repartition("row").withColumns({"size": F.lit(BASE).cast("long"), "n": F.lit(1).cast("long")})
+    cells = _added(_entries(dealt, names), names)
     one = F.concat_ws(".", F.col("cell").cast("string"), F.col("n").cast("string"), F.lower(F.hex("key")), F.lower(F.hex("check")))
     rows = F.transform(F.sort_array(F.collect_list(F.struct("cell", one.alias("one")))), lambda c: c["one"])
     # Every digest has one entry in the first table.
     count = F.sum(F.when(F.col("cell") < BASE, F.col("n")).otherwise(0))
-    return cells.groupBy("id").agg(F.concat(count.cast("string"), F.lit(":"), F.array_join(rows, ",")).alias("fingerprint"))
+    return cells.groupBy(*names).agg(F.concat(count.cast("string"), F.lit(":"), F.array_join(rows, ",")).alias("fingerprint"))
 
 
 def _peeled(cells: DataFrame, table: int) -> DataFrame:
@@ -127,7 +130,10 @@ def differences(pairs: DataFrame) -> DataFrame:
         still = tried.where("remain > 0").select(F.col("pair").alias("own"), size.cast("long").alias("size"))
         if still.isEmpty():
             return reduce(DataFrame.unionByName, done or [tried]).select("pair", "found", "mark")
-        tried = cut(_attempt(pairs.join(still.hint("merge"), F.col("pair") == F.col("own")).drop("own")))
+        few = still.count() <= BROADCAST_PAIRS
+        met = pairs.join(F.broadcast(still) if few else still.hint("merge"), F.col("pair") == F.col("own")).drop("own")
+        # Only what is met by a broadcast must be dealt yet.
+        tried = cut(_attempt(met.repartition("pair") if few else met))
         done.append(tried.where("remain = 0"))
         size = F.greatest(F.col("size") * 2, F.ceil((F.col("found") + F.col("remain")) * ROOM) + BASE)
 
@@ -168,15 +174,14 @@ def report(docs: DataFrame) -> DataFrame:
     keyed = stored(keyed)
 
     # Of each row, sides 0 and 1 are its own and the edited digests; pairs 0 and 1 compare its own with the edited and the next.
-    halves = lambda first, second: F.explode(F.array(first, second))
-    number = lambda k: (F.col("row") * 2 + k)
-    sides = keyed.select(halves(F.struct(number(0).alias("id"), F.col("keys").alias("keys")), F.struct(number(1).alias("id"), F.col("edited_keys").alias("keys"))).alias("s")).select("s.*")
-    pairs = keyed.select(
-        halves(*[F.struct(number(k).alias("pair"), F.col("keys").alias("a"), F.col(other).alias("b")) for k, other in enumerate(("edited_keys", "next_keys"))]).alias("p")
-    ).select("p.*")
-    by_row = lambda df, key, value: df.groupBy(F.shiftright(key, 1).alias("of")).agg(*[F.max(F.when(F.col(key) % 2 == k, F.col(v))).alias(f"{v}_{k}") for v in value for k in range(2)])
-    marks = by_row(fingerprints(sides), "id", ["fingerprint"]).withColumnRenamed("of", "of_mark")
-    apart = by_row(differences(pairs), "pair", ["found", "mark"])
+    both = [F.struct(F.lit(k).alias("side"), F.col(c).alias("keys")) for k, c in enumerate(("keys", "edited_keys"))]
+    sides = keyed.select("row", F.explode(F.array(*both)).alias("s")).select("row", "s.*")
+    both = [F.struct((F.col("row") * 2 + k).alias("pair"), F.col("keys").alias("a"), F.col(c).alias("b")) for k, c in enumerate(("edited_keys", "next_keys"))]
+    pairs = keyed.select(F.explode(F.array(*both)).alias("p")).select("p.*")
+    apart_pairs = differences(pairs).select(F.shiftright("pair", 1).alias("row"), (F.col("pair") % 2).alias("side"), "found", "mark")
+    by_row = lambda df, name, values: df.groupBy(F.col("row").alias(name)).agg(*[F.max(F.when(F.col("side") == k, F.col(v))).alias(f"{v}_{k}") for v in values for k in range(2)])
+    marks = by_row(fingerprints(sides), "of_mark", ["fingerprint"])
+    apart = by_row(apart_pairs, "of", ["found", "mark"])
     sizes = {f"total_{k}": F.size("keys") + F.size(other) for k, other in enumerate(("edited_keys", "next_keys"))}
     rows = keyed.select("row", "doc_id", "n_chars", "edited_sha256", *[c.alias(n) for n, c in sizes.items()])
     rows = rows.join(marks, F.col("row") == F.col("of_mark"), "left").join(apart, F.col("row") == F.col("of"), "left")
