@@ -90,8 +90,9 @@ def extract_links(html: Column, selectors: Column) -> Column:
 
 
 def anchors(html: Column) -> Column:
-    """All anchors' quoted hrefs in page order, by a pattern: for samples and for pages known to be simple."""
-    return F.regexp_extract_all(html, F.lit(r'(?is)<a\s[^>]*?href="([^"]*)"'), F.lit(1))
+    """All anchors' hrefs in page order, quoted in either way or not at all, by a pattern."""
+    value = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    return F.transform(F.regexp_extract_all(html, F.lit(value), F.lit(1)), lambda h: F.regexp_replace(h, r"^[\"']|[\"']$", ""))
 
 
 def page_title(html: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.functions.article import extract_links
+from corpusloom.functions.article import anchors, extract_links
 from corpusloom.functions.url import authority, keep_href, make_absolute, normalise_url, rewrite_url
 from corpusloom.schemas import ARCHIVE_MONTHS, FEED_PATHS
 
@@ -43,7 +43,7 @@ def page_urls(sites: DataFrame, page_base: int = 0) -> DataFrame:
     return numbered.select("source", "listing_ord", "listing_url", "page", F.when(F.col("page") == 1, F.col("listing_url")).otherwise(later).alias("url"))
 
 
-def archive_urls(sites: DataFrame, as_of: str, name: str = "Government of Japan", months: int = ARCHIVE_MONTHS) -> DataFrame:
+def archive_urls(sites: DataFrame, as_of: str, name: str, months: int = ARCHIVE_MONTHS) -> DataFrame:
     """source, ord, url of monthly archive pages of the named site, newest first, counted back from the date as_of."""
     month = F.date_format(F.add_months(F.to_date(F.lit(as_of)), -F.col("ord")), "yyyyMM")
     rows = sites.where(F.col("name") == name).select(F.col("name").alias("source"), F.col("base_url"), F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("ord"))
@@ -77,6 +77,11 @@ def feed_entries(feeds: DataFrame) -> DataFrame:
     return rows.where(F.coalesce(url, F.lit("")) != "").select("source", "feed_url", "ord", url.alias("url"), F.coalesce(F.trim("e.title"), F.lit("")).alias("title"), _feed_date(F.col("e.published"), F.col("e.updated")).alias("date"))
 
 
+def link_sample(html: Column, n: int = 10) -> Column:
+    """The first hrefs of a page, to be logged where no selector hits."""
+    return F.slice(anchors(html), 1, n)
+
+
 def feed_attempts(sites: DataFrame) -> DataFrame:
     """source, priority, feed_url: the named feed and then the usual paths at the base URL's origin; none without a named feed."""
     named = sites.where(F.coalesce("rss_url", F.lit("")) != "").select(F.col("name").alias("source"), "rss_url", F.concat(F.regexp_extract("base_url", r"^([^:]+://)", 1), authority(F.col("base_url"))).alias("origin"))
@@ -98,7 +103,7 @@ def listing_links(pages: DataFrame, sites: DataFrame, exact: bool = True) -> Dat
 
     Links are resolved against the site's base URL; within one listing the first find of a page counts."""
     chosen = sites.select(F.col("name").alias("source"), "base_url", F.col("selectors.article_links").alias("link_selectors"))
-    links = pages.join(F.broadcast(chosen), "source").select("source", "listing_url", "page", "base_url", F.posexplode(extract_links(F.col("html"), F.col("link_selectors"))).alias("pos", "href"))
+    links = pages.join(chosen, "source").select("source", "listing_url", "page", "base_url", F.posexplode(extract_links(F.col("html"), F.col("link_selectors"))).alias("pos", "href"))
     kept = links.where(keep_href(F.col("href"))).withColumn("url", make_absolute(F.col("base_url"), F.col("href"), exact))
     placed = kept.select("source", "listing_url", "page", F.struct("page", "pos").alias("ord"), "url", normalise_url(F.col("url"), exact).alias("norm_url"))
     return first_wins(placed, ["source", "listing_url", "norm_url"])
@@ -127,6 +132,6 @@ def candidates(feed: DataFrame, listed: DataFrame, sites: DataFrame, known: Data
     columns = ["source", "url", "title", "date", "way", "ord"]
     both = feed.select("source", "url", "title", "date", F.lit(0).alias("way"), "ord").unionByName(listed.select("source", "url", F.lit("").alias("title"), F.lit("").alias("date"), F.lit(1).alias("way"), "ord"))
     rules = sites.select(F.col("name").alias("source"), "country_code", F.col("url_rewrite.from").alias("_from"), F.col("url_rewrite.to").alias("_to"))
-    rewritten = both.select(*columns).join(F.broadcast(rules), "source").withColumn("url", rewrite_url(F.col("url"), F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    rewritten = both.select(*columns).join(rules, "source").withColumn("url", rewrite_url(F.col("url"), F.col("_from"), F.col("_to"))).drop("_from", "_to")
     keyed = rewritten.withColumn("norm_url", normalise_url(F.col("url"), exact)).withColumn("ord", F.struct("way", "ord"))
     return first_wins(keyed, ["source", "norm_url"]).join(known.select("country_code", "norm_url").distinct(), ["country_code", "norm_url"], "left_anti")

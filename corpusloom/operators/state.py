@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from corpusloom.functions.text import content_hash
 from corpusloom.functions.url import normalise_url
 from corpusloom.operators.discover import last_wins
 from corpusloom.schemas import CHECKPOINT
+from corpusloom.session import exists
 
 
 def usable_index(records: DataFrame, corpora: DataFrame, exact: bool = True) -> DataFrame:
@@ -50,11 +53,11 @@ def merged_checkpoints(old: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 def read_checkpoints(spark: SparkSession, path: str) -> DataFrame:
-    """The stored checkpoints, or none where there are none or they can't be read."""
-    try:
-        return spark.read.schema(CHECKPOINT).parquet(path)
-    except Exception:
+    """The stored checkpoints, or none (with a warning) where there are none. A storage fault is an error."""
+    if not exists(spark, path):
+        logging.getLogger("corpusloom").warning("no checkpoints at %s", path)
         return spark.createDataFrame([], CHECKPOINT)
+    return spark.read.schema(CHECKPOINT).parquet(path)
 
 
 def read_state(spark: SparkSession, root: str, name: str, ddl: str) -> DataFrame:

@@ -13,6 +13,7 @@ from corpusloom.functions.text import content_hash, detect_lang, translate, uniq
 from corpusloom.functions.url import same_domain
 from corpusloom.operators import crawl, state
 from corpusloom.schemas import ARTICLE, CHECKPOINT, INDEX, MIN_BODY, TITLE_LENGTH
+from corpusloom.session import stored
 
 
 def decide(candidates: DataFrame, responses: DataFrame, sites: DataFrame, checkpoints: DataFrame, index: DataFrame, scraped_at: str, limit: int | None = None, translator: Callable[[str], str] | None = None) -> DataFrame:
@@ -21,7 +22,7 @@ def decide(candidates: DataFrame, responses: DataFrame, sites: DataFrame, checkp
     Pages are parsed only if nothing earlier decides about them."""
     rows = crawl.limit_per_source(candidates, limit) if limit else candidates
     about = sites.select(F.col("name").alias("source"), "country", "base_url", "extra_domains", "selectors")
-    rows = rows.join(F.broadcast(about), "source").withColumn("url_key", unique_id(F.col("norm_url")))
+    rows = rows.join(about, "source").withColumn("url_key", unique_id(F.col("norm_url")))
     rows = crawl.with_checkpoints(rows, checkpoints).join(responses, "url", "left").withColumn("chash", content_hash(F.col("html")))
     early = crawl.fetch_outcome(F.col("status"), F.col("html"), same_domain(F.col("url"), F.col("base_url"), F.col("extra_domains")), F.col("chash"), F.col("saved_chash"))
     rows = rows.withColumn("early", early)
@@ -40,24 +41,22 @@ def decide(candidates: DataFrame, responses: DataFrame, sites: DataFrame, checkp
     )
 
 
-def run_batch(spark: SparkSession, root: str, batch_id: str, candidates: DataFrame, responses: DataFrame, sites: DataFrame, scraped_at: str, limit: int | None = None, translator: Callable[[str], str] | None = None, by: str = "country_code") -> DataFrame:
+def run_batch(spark: SparkSession, root: str, batch_id: str, candidates: DataFrame, responses: DataFrame, sites: DataFrame, scraped_at: str, limit: int | None = None, translator: Callable[[str], str] | None = None, by: str = "country_code", index: DataFrame | None = None) -> DataFrame:
     """Runs a batch against the state under root, commits it once, and returns its statistics by country (or by source)."""
-    index = state.read_state(spark, root, "index", INDEX)
+    index = state.read_state(spark, root, "index", INDEX) if index is None else index
     past = state.read_state(spark, root, "checkpoints", f"{CHECKPOINT}, batch string")
     checkpoints = latest_checkpoints(past)
     fresh = candidates.join(index.select("country_code", "norm_url").distinct(), ["country_code", "norm_url"], "left_anti")
-    decided = decide(fresh, responses, sites, checkpoints, index, scraped_at, limit, translator).persist()
-    try:
-        saved = decided.where("decision = 'saved'")
-        # Two sources of one country may find the same page: its first candidate is saved.
-        saved = saved.withColumn("_o", F.struct("ord", "source"))
-        saved = saved.groupBy("country_code", "norm_url").agg(F.min_by(F.struct(*[c for c in saved.columns if c not in ("country_code", "norm_url", "_o")]), "_o").alias("s")).select("country_code", "norm_url", "s.*")
-        columns = [x.split()[0] for x in ARTICLE.split(", ")]
-        merged = state.merged_checkpoints(checkpoints.limit(0), decided).withColumn("batch", F.lit(batch_id))
-        state.commit_batch(spark, root, batch_id, {"articles": saved.select(*columns), "index": state.new_records(saved, index), "checkpoints": merged, "raw": decided.where("decision in ('saved', 'duplicate')").select(*columns)})
-        return spark.createDataFrame(crawl.run_stats(decided, by).collect(), f"{by} string, saved long, skipped long, errors long")
-    finally:
-        decided.unpersist()
+    # A table in the shared folder: a lost executor costs no second parsing.
+    decided = stored(decide(fresh, responses, sites, checkpoints, index, scraped_at, limit, translator))
+    saved = decided.where("decision = 'saved'")
+    # Two sources of one country may find the same page: its first candidate is saved.
+    saved = saved.withColumn("_o", F.struct("ord", "source"))
+    saved = saved.groupBy("country_code", "norm_url").agg(F.min_by(F.struct(*[c for c in saved.columns if c not in ("country_code", "norm_url", "_o")]), "_o").alias("s")).select("country_code", "norm_url", "s.*")
+    columns = [x.split()[0] for x in ARTICLE.split(", ")]
+    merged = state.merged_checkpoints(checkpoints.limit(0), decided).withColumn("batch", F.lit(batch_id))
+    state.commit_batch(spark, root, batch_id, {"articles": saved.select(*columns), "index": state.new_records(saved, index), "checkpoints": merged, "raw": decided.where("decision in ('saved', 'duplicate')").select(*columns)})
+    return spark.createDataFrame(crawl.run_stats(decided, by).collect(), f"{by} string, saved long, skipped long, errors long")
 
 
 def latest_checkpoints(past: DataFrame) -> DataFrame:

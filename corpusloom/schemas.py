@@ -21,6 +21,7 @@ FEED_PATHS = ("/feed", "/feed/", "/rss.xml", "/rss", "/en/feed", "/en/rss.xml",
 JUNK_SELECTORS = (
     "nav", "footer", "script", "style", "aside", "header", ".skip-link", ".breadcrumb", ".related", ".share", ".social", ".cookie-banner", ".cookie-notice", "[aria-hidden='true']", ".site-header", ".site-footer", ".sidebar",
 )
+#: Fixed value: the agent by which robots rules and pages are asked for.
 USER_AGENT = "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/124.0.0.0 Safari/537.36"
 #: Bodies with fewer code points are not articles.
 MIN_BODY = 300

@@ -40,6 +40,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named or LOCAL_SHARED
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at a path of any file system that Spark knows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: its lineage ends here, and a lost executor costs nothing."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -4,6 +4,8 @@ Tests use recorded responses; nothing here runs unless it is asked to."""
 
 from __future__ import annotations
 
+import logging
+import random
 import time
 from collections.abc import Callable, Iterator
 from urllib.error import HTTPError
@@ -17,13 +19,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from corpusloom.functions.url import authority
 from corpusloom.schemas import RESPONSE, USER_AGENT
 
-TRIES, BACKOFF, TIMEOUT, DELAY = 3, 2.0, 60.0, 1.5
+#: Tries, first pause before another, seconds for an answer, least and greatest pause between requests.
+TRIES, BACKOFF, TIMEOUT, DELAY, DELAY_MOST = 3, 2.0, 60.0, 1.5, 3.0
+#: Seconds for a rendered page to load, for the element that it is waited for, and to settle.
+LOAD, WAIT, SETTLE = 60.0, 10.0, 3.0
 
 
 def get(url: str, etag: str = "", last_modified: str = "", opener: Callable = urlopen, sleep: Callable[[float], None] = time.sleep) -> tuple:
     """(html, etag, last_modified, status). Only failures to get any answer are tried again, after 2, 4 and 8 seconds;
     304 returns the validators that were sent, any other status none, no answer at all status 0."""
-    headers = {"User-Agent": USER_AGENT, "Accept": "text/html,application/xhtml+xml,application/xml;q=0.9,*/*;q=0.8", "Accept-Language": "en-US,en;q=0.9"}
+    headers = {"User-Agent": USER_AGENT, "Accept-Language": "en"}
     headers |= {k: v for k, v in (("If-None-Match", etag), ("If-Modified-Since", last_modified)) if v}
     for attempt in range(TRIES):
         try:
@@ -48,7 +53,36 @@ def rendered(renderer: Callable[[str], str | None]) -> Callable:
     return run
 
 
-def fetch(rows: DataFrame, getter: Callable = get, partitions: int = 64, delay: float = DELAY) -> DataFrame:
+def rendered_by(browser: Callable, wait_selector: str = "", sleep: Callable[[float], None] = time.sleep) -> Callable:
+    """A getter that drives a browser: `browser()` gives an object with open(url, timeout), wait_for(selector, timeout),
+    content() and close(). An element that does not appear is tolerated; a page that does not load has no answer."""
+
+    def render(url: str) -> str | None:
+        page = browser()
+        try:
+            page.open(url, LOAD)
+            if wait_selector:
+                try:
+                    page.wait_for(wait_selector, WAIT)
+                except Exception as error:
+                    _LOG.debug("%s: no %s (%s)", url, wait_selector, error)
+            sleep(SETTLE)
+            return page.content()
+        except Exception as error:
+            _LOG.warning("%s: %s", url, error)
+            return None
+        finally:
+            page.close()
+
+    return rendered(render)
+
+
+def pause(least: float = DELAY, most: float = DELAY_MOST) -> float:
+    """Seconds between two requests to a host, at random between the bounds."""
+    return random.uniform(least, max(least, most))
+
+
+def fetch(rows: DataFrame, getter: Callable = get, partitions: int = 64, delay: float = DELAY, most: float | None = None) -> DataFrame:
     """Responses for rows (url, saved_etag, saved_last_modified, allowed). One host's pages are in one partition, which waits
     between requests; pages that may not be fetched have status 403."""
 
@@ -60,13 +94,16 @@ def fetch(rows: DataFrame, getter: Callable = get, partitions: int = 64, delay:
                     out.append((r.url, None, None, None, 403))
                     continue
                 out.append((r.url, *getter(r.url, r.saved_etag or "", r.saved_last_modified or "")))
-                time.sleep(delay)
+                time.sleep(pause(delay, delay * DELAY_MOST / DELAY if most is None else most))
             yield pd.DataFrame(out, columns=["url", "html", "etag", "last_modified", "status"])
 
     named = rows.select("url", "saved_etag", "saved_last_modified", "allowed").repartition(partitions, authority(F.col("url")))
     return named.mapInPandas(run, RESPONSE)
 
 
+_LOG = logging.getLogger("corpusloom.http")
+
+
 class _Pages(InputPartition):
     def __init__(self, urls: list[str]):
         self.urls = urls

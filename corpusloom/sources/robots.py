@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from urllib.robotparser import RobotFileParser
 
 import pandas as pd
@@ -32,6 +33,24 @@ def _allowed(urls: pd.Series, rules: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else one(u, t) for u, t in zip(urls, rules)], dtype=object)
 
 
+_ROBOTS = "origin string, robots_txt string"
+
+
+def read_robots(rows: DataFrame, getter: Callable, partitions: int = 64) -> DataFrame:
+    """(origin, robots_txt) of the URLs' origins, each asked once. A refusal (401, 403) forbids everything, another client
+    error permits everything, any other failure leaves a null."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for origin in batch["origin"]:
+                html, _, _, status = getter(f"{origin}/robots.txt")
+                found.append(html or "" if status == 200 else "User-agent: *\nDisallow: /" if status in (401, 403) else "" if 400 <= status < 500 else None)
+            yield pd.DataFrame({"origin": batch["origin"], "robots_txt": found})
+
+    return rows.select(robots_origin(F.col("url")).alias("origin")).where("origin <> ''").distinct().repartition(partitions, "origin").mapInPandas(run, _ROBOTS)
+
+
 def with_permission(rows: DataFrame, robots: DataFrame, on_error: str = "deny") -> DataFrame:
     """rows with `allowed`. robots: (origin, robots_txt), null text where it could not be read; then, and where nothing is
     known of an origin, on_error decides ('deny' or 'allow')."""

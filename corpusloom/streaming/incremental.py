@@ -20,7 +20,7 @@ def start(spark: SparkSession, landed: str, root: str, sites: DataFrame, scraped
     codes = sites.select(F.col("name").alias("source"), "country_code")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        pages = batch.dropDuplicates(["source", "url", "ord"]).join(F.broadcast(codes), "source")
+        pages = batch.dropDuplicates(["source", "url", "ord"]).join(codes, "source")
         found = pages.select("source", "country_code", normalise_url(F.col("url")).alias("norm_url"), "url", F.lit("").alias("title"), F.lit("").alias("date"), "ord")
         first = found.groupBy("source", "norm_url").agg(F.min_by(F.struct("country_code", "url", "title", "date", "ord"), "ord").alias("f")).select("source", "norm_url", "f.*")
         answers = pages.groupBy("url").agg(F.max_by(F.struct("html", "etag", "last_modified", "status"), "ord").alias("r")).select("url", "r.*")

@@ -173,3 +173,100 @@ def test_full_run(spark, sites, tmp_path):
 
 def test_rendered():
     assert http.rendered(lambda u: "<p>")("u") == ("<p>", None, None, 200) and http.rendered(lambda u: None)("u")[3] == 0
+
+
+class Web:
+    """Recorded pages as a fetcher, with sites that break on request."""
+
+    def __init__(self, spark, pages, broken=""):
+        self.recorded, self.broken = spark.createDataFrame([(u, h, None, None, 200) for u, h in pages.items()], RESPONSE), broken
+
+    def __call__(self, rows):
+        if self.broken and not rows.where(F.col("url").contains(self.broken)).isEmpty():
+            raise RuntimeError("the site broke")
+        answers = rows.select("url", "allowed").distinct().join(self.recorded, "url", "left")
+        return answers.select("url", F.when(F.col("allowed"), F.col("html")).alias("html"), "etag", "last_modified", F.when(~F.col("allowed"), 403).otherwise(F.coalesce("status", F.lit(0))).alias("status"))
+
+
+def test_run_all_from_catalog_to_corpus(spark, sites, tmp_path):
+    from corpusloom.plans import full
+
+    root, out = str(tmp_path / "state"), str(tmp_path / "out")
+    listing = "".join(f'<h2><a href="/n/{i}">x</a></h2>' for i in (1, 2, 3))
+    web = {"https://a.org/news/": listing} | {f"https://a.org/n/{i}": page(150 + i) for i in (1, 2, 3)}
+    rules = lambda rows: robots.read_robots(rows, lambda url: ("User-agent: *\nDisallow: /n/3", None, None, 200), 2)
+    both = sites.withColumn("site_ord", F.when(F.col("name") == "A", 0).otherwise(1).cast("long")).withColumn("max_pages", F.lit(1))
+    stats = [tuple(r) for r in full.run_all(spark, root, out, "1", both, Web(spark, web), "2026-01-01T00:00:00+00:00", robots=rules).collect()]
+    assert stats == [("a", 2, 0, 1)]
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out" / "markdown").rglob("*.txt")))
+    assert text.startswith("# Country: Aland") and text.count("- **URL:** https://a.org/n/") == 2
+    assert spark.read.json(f"{out}/processed").count() == 2 and spark.read.json(f"{out}/raw").count() == 2
+    assert not full.publish(spark, root, out, "1")
+    # What is known is skipped, until the corpus is gone.
+    again = [tuple(r) for r in full.run_all(spark, root, out, "2", both, Web(spark, web), "2026-01-02T00:00:00+00:00", robots=rules).collect()]
+    assert again[0][1] == 0
+    import shutil
+
+    shutil.rmtree(tmp_path / "out" / "markdown")
+    assert full.corpora(spark, out).count() == 0
+
+
+def test_one_broken_source(spark, sites, tmp_path):
+    from corpusloom.plans import full
+
+    listing = '<h2><a href="/n/1">x</a></h2>'
+    web = Web(spark, {"https://a.org/news/": listing, "https://a.org/n/1": page(150)}, broken="broken.org")
+    three = sites.withColumn("site_ord", F.when(F.col("name") == "A", 0).otherwise(1).cast("long")).withColumn("max_pages", F.lit(1))
+    bad = three.where("name = 'B'").withColumn("name", F.lit("C")).withColumn("country_code", F.lit("c")).withColumn("base_url", F.lit("https://broken.org")).withColumn("listing_urls", F.array(F.lit("https://broken.org/news"))).withColumn("site_ord", F.lit(2).cast("long"))
+    got = full.run_all(spark, str(tmp_path / "state"), str(tmp_path / "out"), "1", three.unionByName(bad), web, "2026-01-01T00:00:00+00:00", mode="sum")
+    assert {tuple(r) for r in got.collect()} == {("a", 1, 0, 0), ("c", 0, 0, 1)}
+
+
+def test_rules_by_status(spark):
+    answers = {"https://www.a.org/robots.txt": ("User-agent: *\nDisallow: /x", None, None, 200), "https://www.b.org/robots.txt": (None, None, None, 403), "https://www.c.org/robots.txt": (None, None, None, 404), "https://www.d.org/robots.txt": (None, None, None, 0)}
+    rows = spark.createDataFrame([(f"https://{h}.org/x",) for h in "abcd"], "url string")
+    allowed = {r.url[8]: r.allowed for r in robots.with_permission(rows, robots.read_robots(rows, answers.__getitem__, 2)).collect()}
+    assert allowed == {"a": False, "b": False, "c": True, "d": False}
+
+
+def test_browser_and_pause():
+    calls = []
+
+    class Browser:
+        def open(self, url, timeout):
+            calls.append(("open", timeout))
+            if "bad" in url:
+                raise OSError
+
+        def wait_for(self, selector, timeout):
+            calls.append((selector, timeout))
+            raise TimeoutError
+
+        def content(self):
+            return "<p>"
+
+        def close(self):
+            calls.append("closed")
+
+    get = http.rendered_by(Browser, ".x", calls.append)
+    assert get("u") == ("<p>", None, None, 200) and calls == [("open", 60.0), (".x", 10.0), 3.0, "closed"]
+    assert get("bad")[3] == 0 and calls[-1] == "closed"
+    assert all(1.5 <= http.pause() <= 3.0 for _ in range(50))
+
+
+def test_log_file(tmp_path):
+    from corpusloom.log import get_logger
+
+    log = get_logger("corpusloom.test", str(tmp_path / "logs" / "run.log"))
+    assert get_logger("corpusloom.test", str(tmp_path / "logs" / "run.log")).handlers == log.handlers
+    log.info("a line")
+    assert "a line" in (tmp_path / "logs" / "run.log").read_text()
+
+
+def test_deep_pages(spark):
+    from corpusloom.functions import article
+
+    deep = "<article>" + "<div>" * 5000 + "<a href='/x'>deep words</a>" + "</div>" * 5000 + "</article>"
+    frame = spark.createDataFrame([(deep,)], "html string")
+    got = frame.select(article.parse_article(F.col("html"), F.lit("u")).alias("a"), article.extract_links(F.col("html"), F.lit("article a")).alias("l"), discover.link_sample(F.col("html")).alias("s")).first()
+    assert got.a.body == "deep words" and got.l == ["/x"] == got.s
