@@ -2,7 +2,12 @@
 
 Each stage works on the rows that the one before it kept and returns the columns of documents; the last returns the
 encoded rows. `run` writes every stage's rows as Parquet in the shared folder and reads them again, so that a lost
-executor never costs more than one stage.
+executor never costs more than one stage; a stage's rows are deleted once the next one's are written.
+
+Null and empty texts fail the quality rules and go there. A null lang or source is a group of its own, a null doc_id a row
+like others. Repeated rows pass the quality rules alike and are one document for line dedup and the n-gram join, which keeps
+one of them. Ties (a similarity of just 80 %) count as similar. An empty table gives an empty result in every stage. Texts
+may be of any length. Extra columns, whatever their names, are passed on by all stages but the last.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm import bpe, linededup, mixing, ngramjoin, quality
 from corpusloom.llm.queries import vocabulary
-from corpusloom.session import ensure_checkpoint_dir
+from corpusloom.session import ensure_checkpoint_dir, remove
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,4 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return made
         made.write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}")
     return docs

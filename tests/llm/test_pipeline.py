@@ -59,3 +59,23 @@ def test_stages_and_run(spark, tmp_path):
         want = total * (k % 3 + 1) / 6
         if want < 3 * before[s]:
             assert abs(taken[s] - want) < 0.15 * want
+
+
+def test_hard_rows_and_empty_table(spark, tmp_path):
+    """Nulls in every column, empty texts, repeated rows, a long text, and columns with names that the stages use inside."""
+    import corpus_pipeline
+
+    body = " ".join(f"word{i} goes on" for i in range(60))
+    long = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(3_000))
+    data = [(1, body, "en", "a"), (1, body, "en", "a"), (1, body + " and ends elsewhere", "en", "a"), (None, "null " + body[::-1], None, None), (3, None, "en", "a"), (4, "", None, "a"), (5, long, "en", None)]
+    extra = "bad_id int, `doc.text` int, num int, own int, kept int, at int, first_at int, source_size int, copies int, `left` int"
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), *range(10)) for r in data], f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
+    for name, table in (("full", docs), ("none", docs.limit(0))):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            table = stage(spark, table, str(tmp_path))
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert table.columns == docs.columns, k
+            table.write.parquet(str(tmp_path / f"{name}{k}"))
+            table = spark.read.parquet(str(tmp_path / f"{name}{k}"))
+        ids = {r.doc_id for r in table.collect()}
+        assert ids <= {1, None, 5} if name == "full" else not ids
