@@ -46,6 +46,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder and all in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: its lineage ends here, and a lost executor costs nothing."""
     ensure_checkpoint_dir(df.sparkSession)
