@@ -112,6 +112,7 @@ SQL: dict[str, str] = {
     "commit_guard": f"with {_INDEX}, {_SAVED} select country_code, norm_url, url, 'New ' || page_id as title, md5(url) as content_hash from sv where (country_code, norm_url) not in (select country_code, norm_url from ix)",
     "shared_index": f"with {PAGES} select country_code, norm_url, page_id, page_id % 2 as site_ord from (select *, row_number() over (partition by country_code, norm_url order by page_id % 2, page_id) as k from pg) where k = 1",
     "checkpoint_merge": f"with {DECIDED}, l as (select source, url_key, arg_max(case when page_id % 2 = 0 then 'n' || page_id else '' end, page_id) as etag, arg_max(coalesce(chash, ''), page_id) as chash, arg_max(decision, page_id) as decision from decided group by 1, 2), f as (select * from l where decision in ('unchanged', 'unparsable', 'duplicate', 'saved')) select coalesce(cp.source, f.source) as source, coalesce(cp.url_key, f.url_key) as url_key, coalesce(nullif(f.etag, ''), cp.etag, '') as etag, case when f.source is not null then 'Mon' else cp.last_modified end as last_modified, coalesce(case when f.decision <> 'unchanged' then f.chash end, cp.chash, '') as chash from cp full outer join f on cp.source = f.source and cp.url_key = f.url_key",
+    "robots_filter": "with o as (select page_id, lower(regexp_extract(url, '^([^:]+)://', 1)) as scheme, lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)) as host, regexp_extract(url, '^[^:]+://[^/?#]*(.*)$', 1) as path from pages) select page_id, length(scheme || '://' || case when starts_with(host, 'www.') then host else 'www.' || host end) % 3 > 0 and not starts_with(path, '/fr/') as allowed from o",
     "raw_append": "select doc_id, source, n_chars, 'a' as batch from documents union all select doc_id, source, n_chars, 'b' from documents",
     "content_dup_report": "select md5(text) as content_hash, count(*) as n, printf('%08d', min(doc_id)) as first_url from documents group by 1 having count(*) > 1",
     "markdown_render": f"with {PAGES}, m as (select * from pg) select country_code, -1::bigint as ord, '# Country: ' || country_code || chr(10) || chr(10) || '*Last updated: 2026-03-24 02:29 UTC*' || chr(10) || chr(10) || '---' || chr(10) || chr(10) as text from m group by country_code union all select country_code, page_id, '### Title ' || page_id || chr(10) || chr(10) || '- **Source:** ' || source || chr(10) || '- **URL:** ' || url || chr(10) || '- **Published Date:** ' || case page_id % 3 when 0 then 'N/A' when 1 then '' else '2024-05-01' end || chr(10) || '- **Scraped Date:** ' || left('{SCRAPED_AT}', 10) || chr(10) || '- **Word Count:** ' || page_id || chr(10) || '- **Unique ID:** `' || {_UID.format('url')} || '`' || chr(10) || chr(10) || '#### Content:' || chr(10) || chr(10) || norm_url || chr(10) || chr(10) || '---' || chr(10) || chr(10) from m",
