@@ -166,14 +166,9 @@ class ByteBpe:
         return b"".join([table[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", errors="replace")
 
 
-_loaded: dict[str, ByteBpe] = {}
-
-
 def tokenizer(path: str) -> ByteBpe:
-    """One tokenizer for each file and worker."""
-    if path not in _loaded:
-        _loaded[path] = ByteBpe(path)
-    return _loaded[path]
+    """A worker's tokenizer."""
+    return textbatch.model(ByteBpe, path)
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", ids_column: str = "ids", decoded_column: str | None = "decoded") -> DataFrame:
@@ -196,7 +191,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", ids_column:
                 old = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays([*(old.column(c) for c in keep), *made], names=[*keep, ids_column, *([decoded_column] if decoded_column else [])])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(textbatch.lean(run, models=True), schema)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -218,4 +213,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(textbatch.lean(run, models=True), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")

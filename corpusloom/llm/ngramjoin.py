@@ -122,7 +122,7 @@ def frequent(docs: DataFrame, buckets: int) -> np.ndarray:
         keep = level > 0
         return pa.table({"low": pa.array(low[keep].astype(np.int64)), "level": pa.array(level[keep].astype(np.int32))})
 
-    levels = cut(docs.select("text").mapInArrow(emit, "bucket int, blob binary, sums binary").groupBy("bucket").applyInArrow(count, "low long, level int"))
+    levels = cut(docs.select("text").mapInArrow(textbatch.lean(emit), "bucket int, blob binary, sums binary").groupBy("bucket").applyInArrow(count, "low long, level int"))
     have = {r["level"]: r["n"] for r in levels.groupBy("level").agg(F.count("*").alias("n")).collect()}
     for level in range(1, len(LEVELS) + 1):
         if sum(n for k, n in have.items() if k >= level) <= FREQUENT_LIMIT:
@@ -215,7 +215,7 @@ def tiles(docs: DataFrame, buckets: int, often: np.ndarray) -> DataFrame:
             }
         )
 
-    rows = docs.select("doc_id", "text").mapInArrow(emit, f"bucket int, blob binary, doc_id {id_type}, sig long, n int")
+    rows = docs.select("doc_id", "text").mapInArrow(textbatch.lean(emit), f"bucket int, blob binary, doc_id {id_type}, sig long, n int")
     return cut(rows.groupBy("bucket").applyInArrow(meet, f"doc_id {id_type}, sig long, n int, tile long"))
 
 
@@ -288,7 +288,7 @@ def member_sets(docs: DataFrame, wanted: DataFrame, whole: bool) -> DataFrame:
                         out.append((int(sig[i].astype(np.int64)), int(n[i]), members.tobytes() if whole else parity(members).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else ([], [], []), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["sig", "n", "data"])
 
-    found = docs.select("text").mapInArrow(run, "sig long, n int, data binary")
+    found = docs.select("text").mapInArrow(textbatch.lean(run), "sig long, n int, data binary")
     return cut(found.groupBy("sig").agg(F.first("n").alias("n"), F.first("data").alias("data")))
 
 
@@ -302,7 +302,7 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [may_link(*v) for v in zip(x["bits_a"], x["bits_b"], x["n_a"], x["n_b"], strict=True)]
             yield batch.select(["a", "b", "shared"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("a", "b", "shared", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(run, "a long, b long, shared long")
+    return joined.select("a", "b", "shared", "bits_a", "bits_b", "n_a", "n_b").mapInArrow(textbatch.lean(run), "a long, b long, shared long")
 
 
 def _apart_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
@@ -324,7 +324,7 @@ def _apart_pairs(labelled: DataFrame, sets: DataFrame) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-    return left.join(packed.select("pivot", "members"), "pivot").mapInArrow(run, "a long, b long").distinct()
+    return left.join(packed.select("pivot", "members"), "pivot").mapInArrow(textbatch.lean(run), "a long, b long").distinct()
 
 
 def _block_pairs(own: list[dict], members: list[dict]) -> list[tuple[int, int]]:
@@ -365,7 +365,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             keep = [links(np.frombuffer(a[i].as_buffer(), "<u8"), np.frombuffer(b[i].as_buffer(), "<u8")) for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("a", "b", "members_a", "members_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "members_a", "members_b").mapInArrow(textbatch.lean(run), "a long, b long")
 
 
 def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -70,13 +70,8 @@ class Pieces:
         return [self.cache[w] for w in words]
 
 
-_loaded: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
-    if path not in _loaded:
-        _loaded[path] = Pieces(path)
-    return _loaded[path]
+    return textbatch.model(Pieces, path)
 
 
 def repeated(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,7 +164,7 @@ def metrics(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([old.column("doc_id"), old.column("lang"), old.column("at"), *arrays], names=["doc_id", "lang", "at", *names])
 
     # `at` tells rows with one doc_id but other texts apart.
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("at"), "text").select("doc_id", "lang", "at", "text").mapInArrow(run, f"doc_id {id_type}, lang string, at long, {METRICS}")
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("at"), "text").select("doc_id", "lang", "at", "text").mapInArrow(textbatch.lean(run, models=True), f"doc_id {id_type}, lang string, at long, {METRICS}")
 
 
 def _quantiles(measured: DataFrame, name: str, points: list[float]) -> DataFrame:

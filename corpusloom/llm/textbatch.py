@@ -6,7 +6,9 @@ for every word of a batch at once from one cumulative sum, then mixed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
+_model: dict[tuple[str, str], Any] = {}
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -26,6 +29,47 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def model(make: Callable[[str], Any], path: str) -> Any:
+    """make(path), kept by the worker with its cache until it needs another one."""
+    key = (make.__qualname__, path)
+    if key not in _model:
+        _model.clear()
+        _model[key] = make(path)
+    return _model[key]
+
+
+def forget() -> None:
+    """Drops the model that the worker keeps."""
+    _model.clear()
+
+
+def release() -> None:
+    """Gives the memory that Arrow and the C library hold free back to the system; a few milliseconds."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in glibc
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], models: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for mapInArrow, with its free memory given back between batches and at its end. Spark keeps idle workers, and what
+    they hold counts while later stages run in the JVM of the same executor. Unless it uses models, an earlier one is dropped."""
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            release()
+
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not models:
+            forget()
+        yield from run(between(batches))
+        release()
+
+    return outer
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit words."""
     x = x ^ (x >> np.uint64(30))

@@ -56,3 +56,51 @@ def test_powers_grow_with_a_long_text():
     (start, stop), = textbatch.slices(column)
     assert len(set(textbatch.Words(column, start, stop).hashes().tolist())) == 1
     assert np.array_equal(textbatch.powers(3)[0] * textbatch.powers(3)[1], np.ones(3, np.uint64))
+
+
+def test_idle_workers_hold_no_free_memory(spark):
+    """What a worker could give back after a step of the pipeline; it counts while later steps run in the same executor."""
+    from corpusloom.llm import ngramjoin
+
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(str(rng.getrandbits(24)) for _ in range(300))) for i in range(8_000)], "doc_id long, text string").repartition(4).cache()
+    docs.count()
+
+    def probe(batches):
+        import ctypes
+
+        def held():
+            with open("/proc/self/smaps_rollup") as f:
+                return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+        for _ in batches:
+            pass
+        before = held()
+        pa.default_memory_pool().release_unused()
+        ctypes.CDLL(None).malloc_trim(0)
+        yield pa.RecordBatch.from_arrays([pa.array([before - held()])], names=["mb"])
+
+    ngramjoin.frequent(docs, 1)
+    ngramjoin.member_sets(docs, spark.createDataFrame([(1,)], "sig long"), False).count()
+    most = max(r.mb for r in spark.range(0, 4, 1, 4).mapInArrow(probe, "mb double").collect())
+    docs.unpersist()
+    assert most < 30
+
+
+def test_one_model_a_worker(spark):
+    """A stage's vocabulary and cache go when the next stage needs another one, or none."""
+
+    def use(*kinds):
+        def run(batches):
+            from corpusloom.llm import textbatch as own
+
+            for batch in batches:
+                for kind in kinds:
+                    assert own.model(kind, "x") == kind("x")
+                yield pa.RecordBatch.from_arrays([pa.array([len(own._model)])], names=["n"])
+
+        return run
+
+    left = lambda run, models: {r.n for r in spark.range(0, 4, 1, 4).mapInArrow(textbatch.lean(run, models), "n long").collect()}
+    assert left(use(str.upper, list), True) == {1}
+    assert left(use(), False) == {0}
