@@ -93,6 +93,16 @@ def test_articles(spark):
     assert frame[0].a.title == "Doc" and frame[1].a.body == ""
 
 
+def test_references():
+    """Decoded once; named ones only with their semicolon, apart from &amp."""
+    pairs = {
+        "a&quot": "a&quot", "a&quot;b": 'a"b', "&quotx;": "&quotx;", "&copy&middot": "&copy&middot", "&copy;&middot;": "©·", "&amp &ampx &amp;quot; &amp;amp;": "& &x &quot; &amp;", "&a &am &": "&a &am &",
+        "&lt;&nbsp;&#39;&#x27;&#34": "<\xa0''\"", "&lt &notit; &AMP &AMP;": "&lt &notit; &AMP &", "": "",
+    }
+    assert {k: html.decoded(k) for k in pairs} == pairs
+    assert html.attributes('href="/a?x=1&copy=2&amp;y=3"') == {"href": "/a?x=1&copy=2&y=3"}
+
+
 @pytest.mark.parametrize("selector,want", [("div p", 2), ("div.body.main > p", None), ("[aria-hidden='true']", 1), ("p b", 1), ("#x", 0), ("li", 2), ("[class*='har']", 1), ("time[datetime]", 1), ("h1, li", None)])
 def test_selectors(selector, want):
     if want is None:
