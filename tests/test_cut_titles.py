@@ -8,7 +8,7 @@ duckdb = pytest.importorskip("duckdb")
 CUT = ["&quot", "&quo", "&copy", "&middot", "&amp", "&am", "&", "&quot;", "&amp;quot;"]
 
 
-@pytest.mark.parametrize("name", ["body_text", "minimum_slice"])
+@pytest.mark.parametrize("name", ["body_text", "minimum_slice", "parse_article"])
 def test_as_in_sql(spark, tmp_path, name):
     html = "<html><head><title>Token = {0}</title></head><body><nav>N</nav><article><h1>Token = {0}</h1><p><b>Token = &quot;ab&quot; &amp; {1}<br></article></body></html>"
     rows = [(i, f"https://a.example.org/en/{i}.html", html.format(c, "words " * 80)) for i, c in enumerate(CUT)]
