@@ -17,6 +17,7 @@ Extra columns of the documents are left out, whatever their names. An empty tabl
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +37,9 @@ TURNS = 2
 ROOM = 1.0
 #: Pairs that may be broadcast to be tried again (16 bytes each).
 BROADCAST_PAIRS = 200_000
+#: Cells that meet in one task, on average, apart from those of one very long text: the aggregations of an attempt hold them several
+#: times over, so that tasks are counted by cells and not by bytes.
+TASK_CELLS = 1 << 17
 #: Rows for each range in which the order of documents is found, and ranges at most (their first rows are broadcast).
 RANGE_ROWS, RANGES = 50_000, 1 << 16
 _PIECES = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}" % PIECE
@@ -63,6 +67,10 @@ def _entries(sets: DataFrame, names: list[str]) -> DataFrame:
     return spread.select(*names, "size", _cell(F.col("key"), F.col("t"), F.col("size")).alias("cell"), "n", "key", _check(F.col("key")).alias("check"))
 
 
+def _tasks(cells: int) -> int:
+    return max(1, math.ceil(cells / TASK_CELLS))
+
+
 def _added(entries: DataFrame, names: list[str]) -> DataFrame:
     """The cells that are not empty, each the sum of its entries."""
     # A struct as key: for plain numbers each aggregation would take a page of memory of its own before it begins.
@@ -71,11 +79,13 @@ def _added(entries: DataFrame, names: list[str]) -> DataFrame:
     return sums.select(*names, "at.size", "at.cell", "n", "key", "check")
 
 
-def fingerprints(sets: DataFrame) -> DataFrame:
+def fingerprints(sets: DataFrame, n: int) -> DataFrame:
     """row, side, fingerprint of sets (row, side, keys) with a digest: the number of digests, then cell, count, digests and
-    checks of every filled cell. The sets are dealt by row once, and so is the result."""
+    checks of every filled cell. n: the number of sets. They are dealt by row once, and so is the result."""
     names = ["row", "side"]
-    dealt = sets.repartition("row").withColumns({"size": F.lit(BASE).cast("long"), "n": F.lit(1).cast("long")})
+    # No fewer than what the result is joined with gets, else it would be dealt again.
+    tasks = max(_tasks(n * TABLES * BASE), int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = sets.repartition(tasks, "row").withColumns({"size": F.lit(BASE).cast("long"), "n": F.lit(1).cast("long")})
     cells = _added(_entries(dealt, names), names)
     one = F.concat_ws(".", F.col("cell").cast("string"), F.col("n").cast("string"), F.lower(F.hex("key")), F.lower(F.hex("check")))
     rows = F.transform(F.sort_array(F.collect_list(F.struct("cell", one.alias("one")))), lambda c: c["one"])
@@ -116,24 +126,29 @@ def _attempt(pairs: DataFrame, turns: int = TURNS) -> DataFrame:
     return sums.select("pair", "size", F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("mark", F.lit(0)).alias("mark"), remain.cast("long").alias("remain"))
 
 
-def differences(pairs: DataFrame) -> DataFrame:
+def differences(pairs: DataFrame, n: int | None = None) -> DataFrame:
     """pair, found, mark of the pairs of sets (pair, a, b) that differ: how many digests stand in just one of the sets, and
-    the recovered digests' hashes with their sides, combined. Pairs that are left out have equal sets.
+    the recovered digests' hashes with their sides, combined. Pairs that are left out have equal sets. n: the number of pairs, where it is known.
 
     The fingerprints' own sketches, subtracted, estimate the difference; they are peeled where it is small enough for them, and
     sketches of the size that it asks for otherwise. Nearly all pairs are decoded so. For the others sizes at least double, so
     the loop ends after a few rounds even for the longest texts."""
-    tried = cut(_attempt(pairs.withColumn("size", F.lit(BASE).cast("long")).repartition("pair"), 0))
+    n = pairs.count() if n is None else n
+    tasks = max(_tasks(n * TABLES * BASE), pairs.sparkSession.sparkContext.defaultParallelism)
+    tried = cut(_attempt(pairs.withColumn("size", F.lit(BASE).cast("long")).repartition(tasks, "pair"), 0))
     size = F.when(F.col("remain") <= 2 * BASE, F.lit(BASE)).otherwise(F.ceil(F.col("remain") * ROOM) + BASE)
     done = []
     while True:
         still = tried.where("remain > 0").select(F.col("pair").alias("own"), size.cast("long").alias("size"))
-        if still.isEmpty():
+        n, sizes = still.agg(F.count("*"), F.sum("size")).first()
+        if n == 0:
             return reduce(DataFrame.unionByName, done or [tried]).select("pair", "found", "mark")
-        few = still.count() <= BROADCAST_PAIRS
-        met = pairs.join(F.broadcast(still) if few else still.hint("merge"), F.col("pair") == F.col("own")).drop("own")
-        # Only what is met by a broadcast must be dealt yet.
-        tried = cut(_attempt(met.repartition("pair") if few else met))
+        tasks, same = _tasks(sizes * TABLES), F.col("pair") == F.col("own")
+        if n <= BROADCAST_PAIRS:
+            met = pairs.join(F.broadcast(still), same).drop("own").repartition(tasks, "pair")
+        else:
+            met = pairs.repartition(tasks, "pair").join(still.repartition(tasks, "own").hint("merge"), same).drop("own")
+        tried = cut(_attempt(met))
         done.append(tried.where("remain = 0"))
         size = F.greatest(F.col("size") * 2, F.ceil((F.col("found") + F.col("remain")) * ROOM) + BASE)
 
@@ -172,15 +187,16 @@ def report(docs: DataFrame) -> DataFrame:
     texts = met.select("doc_id", F.length("text").cast("long").alias("n_chars"), "keys", "next_keys", edited.alias("edited"))
     keyed = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys")
     keyed = stored(keyed)
+    n = keyed.count()
 
     # Of each row, sides 0 and 1 are its own and the edited digests; pairs 0 and 1 compare its own with the edited and the next.
     both = [F.struct(F.lit(k).alias("side"), F.col(c).alias("keys")) for k, c in enumerate(("keys", "edited_keys"))]
     sides = keyed.select("row", F.explode(F.array(*both)).alias("s")).select("row", "s.*")
     both = [F.struct((F.col("row") * 2 + k).alias("pair"), F.col("keys").alias("a"), F.col(c).alias("b")) for k, c in enumerate(("edited_keys", "next_keys"))]
     pairs = keyed.select(F.explode(F.array(*both)).alias("p")).select("p.*")
-    apart_pairs = differences(pairs).select(F.shiftright("pair", 1).alias("row"), (F.col("pair") % 2).alias("side"), "found", "mark")
+    apart_pairs = differences(pairs, 2 * n).select(F.shiftright("pair", 1).alias("row"), (F.col("pair") % 2).alias("side"), "found", "mark")
     by_row = lambda df, name, values: df.groupBy(F.col("row").alias(name)).agg(*[F.max(F.when(F.col("side") == k, F.col(v))).alias(f"{v}_{k}") for v in values for k in range(2)])
-    marks = by_row(fingerprints(sides), "of_mark", ["fingerprint"])
+    marks = by_row(fingerprints(sides, 2 * n), "of_mark", ["fingerprint"])
     apart = by_row(apart_pairs, "of", ["found", "mark"])
     sizes = {f"total_{k}": F.size("keys") + F.size(other) for k, other in enumerate(("edited_keys", "next_keys"))}
     rows = keyed.select("row", "doc_id", "n_chars", "edited_sha256", *[c.alias(n) for n, c in sizes.items()])

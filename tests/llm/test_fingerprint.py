@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from corpusloom.llm import fingerprint
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -91,3 +93,18 @@ def test_very_long_text(spark):
     got = {r.doc_id: r for r in fingerprint.report(docs).collect()}
     want = brute([(1, text), (2, text[: len(text) // 2] + " end")])
     assert all(abs(got[d].near_next - want[d][3]) < 1e-9 and abs(got[d].near_edited - want[d][2]) < 1e-9 for d in (1, 2))
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_tasks_by_cells(spark, monkeypatch, broadcast):
+    """However many pairs there are, a task of an attempt has so many cells on average, and the results stay."""
+    monkeypatch.setattr(fingerprint, "TASK_CELLS", 2400, raising=False)
+    monkeypatch.setattr(fingerprint, "BROADCAST_PAIRS", broadcast)
+    tasks = []
+    cut = fingerprint.cut
+    monkeypatch.setattr(fingerprint, "cut", lambda df: tasks.append((out := cut(df)).rdd.getNumPartitions()) or out)
+    # Pair i differs in i % 50 digests.
+    pairs = spark.range(1000).selectExpr("id as pair", "transform(sequence(0, 60), x -> xxhash64(id, x)) as a", "transform(sequence(0, 60 - cast(id % 50 as int)), x -> xxhash64(id, x)) as b")
+    got = {r.pair: r.found for r in fingerprint.differences(pairs).collect()}
+    assert all(got.get(i, 0) == i % 50 for i in range(1000))
+    assert tasks[0] >= 10 and tasks[1] >= 10
